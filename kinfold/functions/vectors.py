@@ -103,26 +103,41 @@ def chunks(m: np.ndarray, budget: int = 4_000_000) -> Iterator[slice]:
 
 
 def summed_vectors(
-    df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]], keys: list[str]
+    df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]], keys: list[str], *, merge: int | None = None
 ) -> DataFrame:
     """Sum vectors that each task reduces its rows to.
 
     ``kernel`` folds all batches of a partition into ``(key..., vector)`` tuples, once per
     partition. Spark then adds them element by element, so what is shuffled depends on the
-    number of partitions and keys, never on the number of rows.
+    number of partitions and keys, never on the number of rows. Long vectors can first be added up
+    as wholes in ``merge`` tasks, so that not every partition sends every element.
     """
     fields = [pa.field(k, pa.int64()) for k in keys] + [pa.field("vec", pa.list_(pa.float64()))]
 
-    def run(batches):
-        rows = list(kernel(batches))
+    def run_rows(rows):
         if rows:
             cols = [pa.array([int(r[i]) for r in rows], pa.int64()) for i in range(len(keys))]
             cols.append(pa.array([np.asarray(r[-1], dtype=float) for r in rows], pa.list_(pa.float64())))
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(fields))
 
+    def run(batches):
+        yield from run_rows(list(kernel(batches)))
+
     schema = ", ".join(f"{k} bigint" for k in keys)
     schema = f"{schema}, vec array<double>" if keys else "vec array<double>"
     parts = df.mapInArrow(run, schema)
+    if merge is not None:
+
+        def add(batches):
+            total: dict[tuple, np.ndarray] = {}
+            for b in batches_of(batches):
+                at = list(zip(*[values(b, k).tolist() for k in keys])) if keys else [()] * b.num_rows
+                for key, vec in zip(at, b.column(len(keys))):
+                    v = vec.values.to_numpy(zero_copy_only=False)
+                    total[key] = total[key] + v if key in total else v
+            yield from run_rows([(*k, v) for k, v in total.items()])
+
+        parts = parts.repartition(merge).mapInArrow(add, schema)
     long = parts.select(*keys, F.posexplode("vec").alias("pos", "x"))
     return long.groupBy(*keys, "pos").agg(F.sum("x").alias("x"))
 
