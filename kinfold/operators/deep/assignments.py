@@ -40,15 +40,14 @@ def target_arrays(soft: DataFrame, k: int) -> DataFrame:
 
 def long_form(soft: DataFrame, centroids: Centroids, *columns: str) -> DataFrame:
     """``(row_id, cluster, columns...)``."""
-    ids = F.array(*[F.lit(c) for c in centroids.ids])
-    zipped = F.arrays_zip(ids.alias("cluster"), *[F.col(c) for c in columns])
+    zipped = F.arrays_zip(centroids.id_array().alias("cluster"), *[F.col(c) for c in columns])
     return soft.select("row_id", F.inline(zipped))
 
 
 def hard_labels(soft: DataFrame, centroids: Centroids) -> DataFrame:
     """The centroid with the largest weight; ties go to the lower id."""
     best = F.array_position("q", F.array_max("q")).cast("int")
-    return soft.select("row_id", F.element_at(F.array(*[F.lit(c) for c in centroids.ids]), best).alias("cluster"))
+    return soft.select("row_id", F.element_at(centroids.id_array(), best).alias("cluster"))
 
 
 def divergence(target: DataFrame) -> DataFrame:

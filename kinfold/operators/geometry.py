@@ -93,6 +93,11 @@ class Centroids:
         check_broadcast(points.size, "centroids")
         return Centroids(tuple(r[cluster] for r in rows), points, np.array([float(r["size"]) for r in rows]))
 
+    def id_array(self) -> Column:
+        """The ids as an array column, in centroid order."""
+        kind = "string" if isinstance(self.ids[0], str) else "bigint"
+        return F.array(*[F.lit(c).cast(kind) for c in self.ids])
+
     @property
     def d(self) -> int:
         return self.points.shape[1]
@@ -136,8 +141,8 @@ def _all_distances(centroids: Centroids, features: Column) -> Column:
 def centroid_ranking(df: DataFrame, centroids: Centroids, *, row_id: str = "row_id", features: str = "features") -> DataFrame:
     """``(row_id, cluster, distance, rank)`` against every centroid, computed inside each row."""
     centroids.check_width(width(df, features))
-    ids = F.array(*[F.lit(c) for c in centroids.ids])
-    ladder = F.array_sort(F.arrays_zip(_all_distances(centroids, F.col(features)).alias("distance"), ids.alias("cluster")))
+    distance = _all_distances(centroids, F.col(features)).alias("distance")
+    ladder = F.array_sort(F.arrays_zip(distance, centroids.id_array().alias("cluster")))
     long = df.select(row_id, F.posexplode(ladder).alias("_r", "_c"))
     return long.select(
         row_id, F.col("_c.cluster").alias("cluster"), F.col("_c.distance").alias("distance"), (F.col("_r") + 1).alias("rank")
