@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -96,60 +96,64 @@ def list_array(m: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets[: len(m) + 1]), pa.array(m.ravel()))
 
 
-def chunks(m: np.ndarray, budget: int = 4_000_000) -> Iterator[slice]:
-    """Slices of ``m`` so that a per-row work area of ``budget`` cells is never exceeded."""
-    step = max(1, budget)
-    return (slice(i, i + step) for i in range(0, len(m), step))
+# Doubles that partial sums may bring to the driver in one step: 64 MiB.
+_PARTIAL_CELLS = 8 * 1024 * 1024
 
 
-def summed_vectors(
-    df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]], keys: list[str], *, merge: int | None = None
-) -> DataFrame:
-    """Sum vectors that each task reduces its rows to.
+def total_vectors(
+    df: DataFrame, kernel: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]], keys: list[str], *, cells: int
+) -> dict[tuple, np.ndarray]:
+    """Add up the vectors that each task reduces its rows to; ``{key: vector}`` on the driver.
 
     ``kernel`` folds all batches of a partition into ``(key..., vector)`` tuples, once per
-    partition. Spark then adds them element by element, so what is shuffled depends on the
-    number of partitions and keys, never on the number of rows. Long vectors can first be added up
-    as wholes in ``merge`` tasks, so that not every partition sends every element.
+    partition, of at most ``cells`` doubles together. When the partial sums of all partitions are
+    few they are fetched as they are, which is a job of one stage. Otherwise they are first added
+    up in a round of tasks, or, where a scan's partitions are not known, element by element in a
+    shuffle. What moves depends on the number of partitions, never on the number of rows.
     """
+    from ..session import TooLarge, is_kept
+
+    if cells > _PARTIAL_CELLS:
+        raise TooLarge(f"{cells} cells of sums exceed the limit of {_PARTIAL_CELLS}")
     fields = [pa.field(k, pa.int64()) for k in keys] + [pa.field("vec", pa.list_(pa.float64()))]
+    schema = ", ".join([*(f"{k} bigint" for k in keys), "vec array<double>"])
 
-    def run_rows(rows):
+    def send(rows):
         if rows:
             cols = [pa.array([int(r[i]) for r in rows], pa.int64()) for i in range(len(keys))]
             cols.append(pa.array([np.asarray(r[-1], dtype=float) for r in rows], pa.list_(pa.float64())))
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(fields))
 
     def run(batches):
-        yield from run_rows(list(kernel(batches)))
+        yield from send(list(kernel(batches)))
+
+    def add(batches):
+        yield from send([(*k, v) for k, v in _add_up(batches, keys).items()])
 
-    schema = ", ".join(f"{k} bigint" for k in keys)
-    schema = f"{schema}, vec array<double>" if keys else "vec array<double>"
     parts = df.mapInArrow(run, schema)
-    if merge is not None:
-
-        def add(batches):
-            total: dict[tuple, np.ndarray] = {}
-            for b in batches_of(batches):
-                at = list(zip(*[values(b, k).tolist() for k in keys])) if keys else [()] * b.num_rows
-                for key, vec in zip(at, b.column(len(keys))):
-                    v = vec.values.to_numpy(zero_copy_only=False)
-                    total[key] = total[key] + v if key in total else v
-            yield from run_rows([(*k, v) for k, v in total.items()])
-
-        parts = parts.repartition(merge).mapInArrow(add, schema)
+    if is_kept(df):
+        n = df.rdd.getNumPartitions()
+        if n * cells > _PARTIAL_CELLS:
+            few = max(1, min(math.isqrt(n), _PARTIAL_CELLS // cells))
+            parts = parts.repartition(few).mapInArrow(add, schema)
+        return _add_up(parts.toArrow().to_batches(), keys)
     long = parts.select(*keys, F.posexplode("vec").alias("pos", "x"))
-    return long.groupBy(*keys, "pos").agg(F.sum("x").alias("x"))
-
+    found = long.groupBy(*keys, "pos").agg(F.sum("x").alias("x")).toArrow()
+    at = list(zip(*[found.column(k).to_pylist() for k in keys])) if keys else [()] * found.num_rows
+    grouped: dict[tuple, list] = {}
+    for key, pos, x in zip(at, found.column("pos").to_pylist(), found.column("x").to_pylist()):
+        grouped.setdefault(key, []).append((pos, x))
+    return {k: np.array([x for _, x in sorted(v)]) for k, v in grouped.items()}
 
-def collect_vectors(summed: DataFrame, keys: list[str], limit: int = 5_000_000) -> dict[tuple, np.ndarray]:
-    """Bring summed vectors (a few per key) to the driver."""
-    from ..session import bounded_rows
 
-    found: dict[tuple, dict[int, float]] = {}
-    for r in bounded_rows(summed, limit, "summed vectors"):
-        found.setdefault(tuple(r[k] for k in keys), {})[r["pos"]] = r["x"]
-    return {k: np.array([v[i] for i in range(len(v))]) for k, v in found.items()}
+def _add_up(batches: Iterable[pa.RecordBatch], keys: list[str]) -> dict[tuple, np.ndarray]:
+    total: dict[tuple, np.ndarray] = {}
+    for b in batches_of(iter(batches)):
+        at = list(zip(*[values(b, k).tolist() for k in keys])) if keys else [()] * b.num_rows
+        for key, vec in zip(at, b.column(len(keys))):
+            v = vec.values.to_numpy(zero_copy_only=False)
+            total[key] = total[key] + v if key in total else v
+    return total
 
 
 def pair_distances(a: np.ndarray, b: np.ndarray, metric: str = "euclidean") -> np.ndarray:
@@ -177,10 +181,3 @@ def pair_distances(a: np.ndarray, b: np.ndarray, metric: str = "euclidean") -> n
 
 def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in batches if b.num_rows)
-
-
-def first_batch(batches: Iterator[pa.RecordBatch]):
-    """Peek at the first non-empty batch; returns (batch or None, iterator over all)."""
-    live = batches_of(batches)
-    head = next(live, None)
-    return head, (itertools.chain([head], live) if head is not None else iter(()))

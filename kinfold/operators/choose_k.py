@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cells import ari
 from ..functions.hashing import poisson_weights
-from ..functions.vectors import batches_of, collect_vectors, matrix, summed_vectors, values
+from ..functions.vectors import batches_of, matrix, total_vectors, values
 from ..session import checkpoint
 from .geometry import nearest_rows
 from .internal_scores import DegenerateClustering, silhouette
@@ -124,7 +124,8 @@ def replicate_agreement(df: DataFrame, fits: list[KMeansFit], draws: list[tuple[
         for (i, j), a in acc.items():
             yield i, j, a.ravel()
 
-    found = collect_vectors(summed_vectors(df.select("row_id", "features"), kernel, ["i", "j"]), ["i", "j"])
+    cells = sum(len(centers[i]) * len(centers[j]) for i, j in pairs)
+    found = total_vectors(df, kernel, ["i", "j"], cells=cells)
     out: dict[int, list[float]] = {}
     for (i, j), vec in sorted(found.items()):
         cells = vec.reshape(len(centers[i]), len(centers[j]))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.hashing import mix_uniform
-from ...functions.vectors import batches_of, collect_vectors, list_array, matrix, summed_vectors, values
+from ...functions.vectors import batches_of, list_array, matrix, total_vectors, values
 from ...session import check_broadcast, checkpoint
 from ..geometry import rows_of, width
 from ..kmeans import fit_kmeans
@@ -40,13 +40,8 @@ class Shards:
     d: int
     parts: int
 
-    @property
-    def merge(self) -> int | None:
-        """Add gradient vectors up in a first round of tasks once there are many shards."""
-        return math.isqrt(self.parts) if self.parts >= 64 else None
-
-    def total(self, kernel) -> np.ndarray:
-        return collect_vectors(summed_vectors(self.df, kernel, [], merge=self.merge), [])[()]
+    def total(self, kernel, cells: int) -> np.ndarray:
+        return total_vectors(self.df, kernel, [], cells=cells)[()]
 
 
 def make_shards(df: DataFrame) -> Shards:
@@ -131,7 +126,7 @@ def train_autoencoder(
             n = len(x)
             yield (np.concatenate([[n, error, n * (opt.t - t0)], n * w, n * opt.m, n * opt.v]),)
 
-        total = shards.total(kernel)
+        total = shards.total(kernel, 3 + 3 * flat.size)
         n = total[0]
         losses.append(float(total[1] / n))
         steps += int(round(total[2] / n))
@@ -176,7 +171,7 @@ def fit_ae_kmeans(
             if acc is not None:
                 yield (acc,)
 
-        total = shards.total(kernel)
+        total = shards.total(kernel, 1 + flat.size + k + centers.size)
         losses.append(float(total[0]))
         g, rest = total[1 : 1 + flat.size], total[1 + flat.size :]
         sizes, sums = rest[:k], rest[k:].reshape(k, -1)
@@ -249,7 +244,7 @@ def fit_dec(
                     acc[k] += (q.argmax(1) != soft_assignment(old.encode(x), c_old).argmax(1)).sum()
                 yield (acc,)
 
-            seen = shards.total(survey)
+            seen = shards.total(survey, k + 1)
             mass, moved = seen[:k], seen[k] / n
             anchor, anchor_c = flat, centers
         now, ref, c_now, c_ref, f = net.with_flat(flat), net.with_flat(anchor), centers, anchor_c, mass
@@ -277,7 +272,7 @@ def fit_dec(
             if acc is not None:
                 yield (acc,)
 
-        total = shards.total(kernel)
+        total = shards.total(kernel, 1 + flat.size + centers.size)
         loss, g = float(total[0]), total[1 : 1 + flat.size]
         if contrast:
             enc = run_layers(contrast[epoch], now.encoder)

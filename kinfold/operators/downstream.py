@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import batches_of, collect_vectors, list_array, matrix, summed_vectors, values
-from ..session import SINGLE_TASK_ROWS, TooLarge, bounded_rows, check_broadcast
+from ..functions.vectors import batches_of, list_array, matrix, total_vectors, values
+from ..session import SINGLE_TASK_ROWS, TooLarge, bounded_rows, check_broadcast, checkpoint
 from .geometry import Centroids, own_centroid_distance, rows_of
 from .ordering import rank_cutoffs, within_cutoff
 from .ranking import ranking_scores
@@ -75,6 +75,7 @@ def fit_logistic(df: DataFrame, *, key: str = "cluster", label: str = "class", c
     beta = {k: np.zeros(d + 1) for k in sizes}
     if len(beta) * (d + 1) ** 2 > 20_000_000:
         raise TooLarge("too many models for one pass")
+    source = checkpoint(df.select("features", F.col(label).cast("int").alias(label), F.col(key).cast("bigint").alias(key)))
     live = set(beta)
     penalty = np.r_[0.0, np.full(d, 1.0)]
     for _ in range(max_iter):
@@ -100,8 +101,7 @@ def fit_logistic(df: DataFrame, *, key: str = "cluster", label: str = "class", c
                     acc[k] = acc[k] + part if k in acc else part
             yield from acc.items()
 
-        source = df.select("features", F.col(label).cast("int").alias(label), F.col(key).cast("bigint").alias(key))
-        found = collect_vectors(summed_vectors(source, kernel, ["model"]), ["model"])
+        found = total_vectors(source, kernel, ["model"], cells=sum((d + 1) * (d + 2) + 1 for _ in at))
         for k in list(live):
             vec = found[(k,)]
             g = c * vec[1 : d + 2] + penalty * beta[k]

@@ -14,11 +14,10 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import (
     batches_of,
-    collect_vectors,
     list_array,
     matrix,
     pair_distances,
-    summed_vectors,
+    total_vectors,
     values,
 )
 from ..session import TooLarge, bounded_rows, check_broadcast
@@ -70,7 +69,7 @@ class Centroids:
             yield from total.items()
 
         live = df.where(F.col(cluster) != -1).select(features, F.col(cluster).cast("bigint").alias(cluster))
-        found = collect_vectors(summed_vectors(live, kernel, ["cluster"]), ["cluster"])
+        found = total_vectors(live, kernel, ["cluster"], cells=1_000_000)
         if not found:
             raise ValueError("no non-noise cluster to build centroids from")
         if len(found) > MAX_CENTROIDS:
@@ -242,7 +241,7 @@ def dispersion(df: DataFrame, centroids: Centroids, *, features: str = "features
         yield (acc.ravel(),)
 
     live = df.where(F.col(cluster) != -1).select(features, cluster)
-    return collect_vectors(summed_vectors(live, kernel, []), [])[()].reshape(-1, 3)
+    return total_vectors(live, kernel, [], cells=3 * len(points))[()].reshape(-1, 3)
 
 
 # --- moments and principal axes -------------------------------------------------------------
@@ -269,7 +268,7 @@ def fit_moments(df: DataFrame, features: str = "features") -> Moments:
         if acc is not None:
             yield (acc,)
 
-    first = collect_vectors(summed_vectors(df.select(features), sums, []), [])
+    first = total_vectors(df.select(features), sums, [], cells=100_000)
     if not first:
         raise ValueError("empty table")
     n, mean = int(first[()][0]), first[()][1:] / first[()][0]
@@ -282,7 +281,7 @@ def fit_moments(df: DataFrame, features: str = "features") -> Moments:
             acc += x.T @ x
         yield (acc.ravel(),)
 
-    scatter = collect_vectors(summed_vectors(df.select(features), kernel, []), [])[()].reshape(d, d)
+    scatter = total_vectors(df.select(features), kernel, [], cells=d * d)[()].reshape(d, d)
     return Moments(n, mean, scatter)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import batches_of, collect_vectors, matrix, summed_vectors, values
+from ..functions.vectors import batches_of, matrix, total_vectors, values
 from ..session import TooLarge, bounded_rows
 from .geometry import Centroids, dispersion, one_row
 from .pairs import cluster_distance_sums, pair_summary
@@ -105,7 +105,7 @@ def silhouette_squared(df: DataFrame) -> DataFrame:
             acc += (s.sum(), len(s))
         yield (acc,)
 
-    total, n = collect_vectors(summed_vectors(df.where("cluster <> -1").select("features", "cluster"), kernel, []), [])[()]
+    total, n = total_vectors(df.where("cluster <> -1").select("features", "cluster"), kernel, [], cells=2)[()]
     return one_row(df.sparkSession, silhouette_squared=float(total / n))
 
 

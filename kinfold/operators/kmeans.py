@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poisson_weights, u01
-from ..functions.vectors import batches_of, collect_vectors, matrix, summed_vectors, values
-from ..session import TooLarge, check_broadcast
+from ..functions.vectors import batches_of, matrix, total_vectors, values
+from ..session import TooLarge, check_broadcast, is_kept, kept
 from .geometry import nearest_rows, rows_of
 from .sampling import lowest_hash
 
@@ -107,8 +107,8 @@ def _step(df: DataFrame, runs: dict[int, Run]) -> dict[int, tuple[np.ndarray, np
         for i, a in acc.items():
             yield i, a.ravel()
 
-    source = df.select("row_id", "features") if weighted else df.select("features")
-    found = collect_vectors(summed_vectors(source, kernel, ["run"]), ["run"])
+    cells = sum(len(c) * (c.shape[1] + 2) for c, _, _ in live.values())
+    found = total_vectors(df, kernel, ["run"], cells=cells)
     out = {}
     for i, r in runs.items():
         a = found[(i,)].reshape(len(r.centers), -1)
@@ -194,6 +194,11 @@ def fit_many(
     for k, _ in wanted:
         if k < 2:
             raise ValueError("k must be at least 2")
+    with kept(df.select("row_id", "features") if not is_kept(df) else df) as held:
+        return _fit_many(held, wanted, n_init, full_starts, max_iter, tol, resamples or {})
+
+
+def _fit_many(df, wanted, n_init, full_starts, max_iter, tol, resamples) -> list[KMeansFit]:
     pool = seeding_pool(df)
     runs, owner = {}, {}
     ready: dict[tuple[int, int], list] = {}
@@ -203,7 +208,7 @@ def fit_many(
             tried = [_settle(pool, plus_plus(pool, min(k, len(pool)), rng)) for _ in range(n_init)]
             ready[k, seed] = sorted(tried, key=lambda s: s[1])[: max(1, full_starts)]
         for centers, _ in ready[k, seed]:
-            rate, wseed = (resamples or {}).get(w, (None, 0))
+            rate, wseed = resamples.get(w, (None, 0))
             owner[len(runs)] = w
             runs[len(runs)] = Run(centers.copy(), rate, wseed)
     if not runs:

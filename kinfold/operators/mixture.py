@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import batches_of, collect_vectors, matrix, summed_vectors
-from ..session import check_broadcast
+from ..functions.vectors import batches_of, matrix, total_vectors
+from ..session import check_broadcast, is_kept, kept
 from .geometry import rows_of
 from .kmeans import KMeansFit, fit_many
 
@@ -100,7 +100,8 @@ def _expect(df: DataFrame, models: dict[int, Mixture]) -> dict[tuple, np.ndarray
         for i, parts in acc.items():
             yield i, np.concatenate([np.ravel(p) for p in parts])
 
-    return collect_vectors(summed_vectors(df.select("features"), kernel, ["model"]), ["model"])
+    cells = sum(2 + 2 * m.k + m.means.size + m.covariances.size for m in models.values())
+    return total_vectors(df, kernel, ["model"], cells=cells)
 
 
 def _maximise(m: Mixture, vec: np.ndarray) -> Mixture:
@@ -138,6 +139,11 @@ def fit_mixtures(
             raise ValueError("k must be at least 2")
         if kind not in COVARIANCE_TYPES:
             raise ValueError(f"unknown covariance type {kind!r}")
+    with kept(df.select("row_id", "features") if not is_kept(df) else df) as held:
+        return _fit(held, wanted, seed, max_iter, tol, starts)
+
+
+def _fit(df, wanted, seed, max_iter, tol, starts) -> list[Mixture]:
     ks = sorted({k for k, _ in wanted})
     if starts is None:
         starts = {f.k: f for f in fit_many(df, [(k, seed) for k in ks], n_init=1)}

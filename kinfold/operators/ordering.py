@@ -166,39 +166,79 @@ def within_cutoff(key: str, row_id: str, cutoffs: dict[tuple, tuple], groups: li
     return test
 
 
+# Values that the built-in exact percentile may hold in one buffer.
+PERCENTILE_ROWS = SINGLE_TASK_ROWS
+
+
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], limit: int = SINGLE_TASK_ROWS
+    df: DataFrame, columns: list[str], probs: list[float], limit: int = PERCENTILE_ROWS
 ) -> dict[str, list[float]]:
     """Exact, linearly interpolated quantiles of several columns.
 
-    Small inputs use the built-in exact percentile for all columns in one job. Larger ones find
-    the two neighbouring order statistics of every quantile by narrowing, so no buffer ever
-    holds a whole column.
+    Small inputs use the built-in exact percentile for all columns in one job. Larger ones take
+    two scans for all columns and quantiles together, a sketch that brackets the two
+    neighbouring order statistics of each quantile and a count that confirms the brackets, and
+    then rank only the rows inside the brackets. No buffer ever holds a whole column.
     """
+    as_double = {c: F.col(c).cast("double") for c in columns}
     counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     if max(counts[c] for c in columns) <= limit:
         row = df.agg(
-            *[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in columns]
+            *[F.percentile(v, F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c, v in as_double.items()]
         ).first()
         return {c: list(row[c]) for c in columns}
-    out = {}
+    targets = []  # (column, 0-based rank)
     for c in columns:
         n = counts[c]
-        one = df.select(F.col(c).cast("double").alias("v")).where("v is not null")
-        ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-        # the same column once per wanted rank, as groups, narrowed together
-        tagged = one.withColumn("t", F.explode(F.array(*[F.lit(r) for r in ranks])))
-        cut = rank_cutoffs(
-            tagged.withColumn("_id", F.lit(0)), "v", "_id", {(r,): r + 1 for r in ranks}, ["t"],
-            {(r,): n for r in ranks}, limit,
+        targets += [(c, r) for r in sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})]
+    slack = 4.0 / _SKETCH
+    around = {c: sorted({min(1.0, max(0.0, (r + 1) / counts[c] + e)) for d, r in targets if d == c for e in (-slack, slack)}) for c in columns}
+    sketch = df.agg(*[F.percentile_approx(v, around[c], _SKETCH).alias(c) for c, v in as_double.items()]).first()
+    ranges = []
+    for c, r in targets:
+        p, q = (r + 1) / counts[c], dict(zip(around[c], sketch[c]))
+        lo = None if p - slack <= 0 else q[min(1.0, max(0.0, p - slack))]
+        hi = None if p + slack >= 1 else q[min(1.0, max(0.0, p + slack))]
+        ranges.append((lo, hi))
+
+    def inside(i: int):
+        v, (lo, hi) = as_double[targets[i][0]], ranges[i]
+        test = v.isNotNull()
+        test = test & (v >= F.lit(lo)) if lo is not None else test
+        return test & (v <= F.lit(hi)) if hi is not None else test
+
+    tests = [
+        e
+        for i, (c, _) in enumerate(targets)
+        for e in (
+            (F.count_if(as_double[c] < F.lit(ranges[i][0])) if ranges[i][0] is not None else F.lit(0).cast("bigint")).alias(f"b{i}"),
+            F.count_if(inside(i)).alias(f"i{i}"),
         )
-        stat = {r: cut[(r,)][0] for r in ranks}
-        vals = []
+    ]
+    seen = df.agg(*tests).first()
+    quotas, sizes, stats = {}, {}, {}
+    for i, (c, r) in enumerate(targets):
+        below, within = seen[f"b{i}"], seen[f"i{i}"]
+        if not below < r + 1 <= below + within:  # the sketch missed: search the whole column
+            ranges[i], below, within = (None, None), 0, counts[c]
+        if ranges[i][0] is not None and ranges[i][0] == ranges[i][1]:
+            stats[c, r] = ranges[i][0]
+        else:
+            quotas[(i,)], sizes[(i,)] = r + 1 - below, within
+    if quotas:
+        tags = [
+            F.when(inside(i), F.struct(F.lit(i).alias("t"), as_double[targets[i][0]].alias("v"))) for (i,) in quotas
+        ]
+        tagged = df.select(F.inline(F.array_compact(F.array(*tags)))).withColumn("_id", F.lit(0))
+        for (i,), (v, _) in rank_cutoffs(tagged, "v", "_id", quotas, ["t"], sizes).items():
+            stats[targets[i]] = v
+    out = {}
+    for c in columns:
+        out[c] = []
         for p in probs:
-            pos = p * (n - 1)
-            lo, hi = stat[math.floor(pos)], stat[math.ceil(pos)]
-            vals.append(lo + (hi - lo) * (pos - math.floor(pos)))
-        out[c] = vals
+            pos = p * (counts[c] - 1)
+            lo, hi = stats[c, math.floor(pos)], stats[c, math.ceil(pos)]
+            out[c].append(lo + (hi - lo) * (pos - math.floor(pos)))
     return out
 
 

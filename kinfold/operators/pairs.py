@@ -262,15 +262,16 @@ def tree_edges(
 def _dense_tree(dist: np.ndarray):
     """Spanning tree of one bounded block; equal weights are settled by row order."""
     n = len(dist)
-    inside = np.zeros(n, bool)
-    link, cost = np.zeros(n, dtype=np.int64), np.full(n, np.inf)
-    us, vs, ws = [], [], []
+    link = np.zeros(n, dtype=np.int64)
+    cost, bar = np.full(n, np.inf), np.full(n, np.inf)  # ``bar`` is below everything once a row is inside
+    us, vs, ws = np.empty(n - 1, dtype=np.int64), np.empty(n - 1, dtype=np.int64), np.empty(n - 1)
     here = 0
-    for _ in range(n - 1):
-        inside[here] = True
-        closer = ~inside & (dist[here] < cost)
-        cost[closer], link[closer] = dist[here][closer], here
-        masked = np.where(inside, np.inf, cost)
-        here = int(masked.argmin())
-        us.append(link[here]); vs.append(here); ws.append(masked[here])
-    return np.array(us, dtype=np.int64), np.array(vs, dtype=np.int64), np.array(ws, dtype=float)
+    for i in range(n - 1):
+        cost[here], bar[here] = np.inf, -np.inf
+        row = dist[here]
+        closer = np.flatnonzero(row < bar)
+        cost[closer] = bar[closer] = row[closer]
+        link[closer] = here
+        here = int(cost.argmin())
+        us[i], vs[i], ws[i] = link[here], here, cost[here]
+    return us, vs, ws

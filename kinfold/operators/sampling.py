@@ -49,10 +49,11 @@ def lowest_hash(
         near = near | (_is(groups, g) & (F.col("_u") < F.lit(t)))
     cut = {}
     if part:
-        near_sizes = group_sizes(keyed.where(near).select(*groups), groups) if max(sizes.values()) > limit else None
-        enough = near_sizes is not None and all(near_sizes.get(g, 0) >= q for g, q in part.items())
-        source = keyed.where(near) if enough else keyed
-        cut = rank_cutoffs(source, "_u", row_id, part, groups, near_sizes if enough else sizes, limit)
+        # a row at the wanted rank below the threshold has that rank in the whole group
+        expected = {g: math.ceil(1.2 * loose[g] * sizes[g]) for g in part}
+        cut = rank_cutoffs(keyed.where(near), "_u", row_id, part, groups, expected, limit) if max(expected.values()) <= limit else {}
+        if len(cut) < len(part):
+            cut = rank_cutoffs(keyed, "_u", row_id, part, groups, sizes, limit)
     keep = within_cutoff("_u", row_id, cut, groups)
     for g in whole:
         keep = keep | _is(groups, g)

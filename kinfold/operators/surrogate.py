@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import batches_of, collect_vectors, list_array, matrix, summed_vectors, values
+from ..functions.vectors import batches_of, list_array, matrix, total_vectors, values
 from ..session import bounded_rows
 from .sampling import simple_sample
 
@@ -187,7 +187,7 @@ def shap_importance(df: DataFrame, tree: SurrogateTree, *, background: int = 200
             n += len(x)
         yield (np.r_[n, acc.ravel()],)
 
-    vec = collect_vectors(summed_vectors(df.select("features"), kernel, []), [])[()]
+    vec = total_vectors(df.select("features"), kernel, [], cells=1 + d * k)[()]
     mean = vec[1:].reshape(d, k) / vec[0]
     rows = [(c, tree.features[j], float(mean[j, i])) for i, c in enumerate(tree.classes) for j in range(d)]
     return df.sparkSession.createDataFrame(rows, "cluster bigint, feature string, mean_abs_shap double")

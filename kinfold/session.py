@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 
 # Rows that one task may sort, or that one aggregate buffer may hold, without a second thought.
@@ -59,6 +62,30 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def is_kept(df: DataFrame) -> bool:
+    """Whether reading ``df`` again is a read of stored rows: cached, or checkpointed."""
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        return True
+    return df._jdf.queryExecution().logical().getClass().getSimpleName() == "LogicalRDD"
+
+
+@contextlib.contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Hold the input of an iterative fit for as long as it runs, unless it is stored already.
+
+    Cached blocks spill to disk and are recomputed from the lineage if an executor is lost.
+    """
+    if is_kept(df):
+        yield df
+        return
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list[Row]:
     """Collect a table that is small by contract; refuse, never truncate, if it is not."""
     rows = df.limit(limit + 1).collect()
