@@ -21,7 +21,8 @@ from ..session import checkpoint, prepare_session, scratch_path
 from ..sources import contracts, files
 from ..streaming import assign as stream_assign
 from ..streaming import drift as stream_drift
-from . import views
+from . import deep_audit, portfolio, prepare, views
+from .settings import Settings
 from .views import FEATURES, LINE_FEATURES, emb, feat, feat_vectors, lines, table, txn
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -956,3 +957,47 @@ def stream_monitor(spark, sf_dir):
     return rounded(got.select(F.unix_seconds("window_start").alias("window_start"), "rows", "feature", "psi", "drifted"))
 
 
+
+
+# --- whole compositions --------------------------------------------------------------------------------
+
+_BRIEF = Settings(
+    hopkins_probes=200, hopkins_repeats=2, vat_prototypes=64, ks=(2, 3, 4), n_init=3, full_algorithms=("kmeans", "gmm"),
+    sample_algorithms=("kmeans", "ward", "gmm", "hdbscan"), options={"hdbscan": {"min_cluster_size": 25, "min_samples": 5}},
+    portfolio_n=1000, k_selection_n=1000, silhouette_sample=500, gap_refs=2, resamples=3, n_seeds=3, consensus_n=200, n_worst=50,
+    train_n=2000, latent=3, hidden=(8,), ae_epochs=5, ft_epochs=3, dec_epochs=4, replicates=100,
+)
+
+
+def _prepared(spark, sf_dir, out):
+    t = txn(spark, sf_dir)
+    return prepare.prepare_tables(
+        t.select("row_id", F.col("k").cast("double").alias("k"), "time_s", "amount", "class"), out, columns=["k"], time="time_s",
+        amount="amount", label="class", settings=_BRIEF,
+    )
+
+
+@query
+def prepared_tables(spark, sf_dir):
+    """All events, from raw rows to reduced features; one line per stored table."""
+    return prepare.row_counts(_prepared(spark, sf_dir, scratch_path(spark, "prepared")))
+
+
+@query
+def portfolio_comparison(spark, sf_dir):
+    """Fits on all events and on a shared sample, scored side by side."""
+    f = feat_vectors(spark, sf_dir, "class")
+    out = portfolio.compare_portfolio(f.drop("class"), f.select("row_id", "class"), scratch_path(spark, "portfolio"), _BRIEF)
+    return rounded(out["performance"].drop("runtime_s"))
+
+
+@query
+def deep_comparison(spark, sf_dir):
+    """Learned representations against an earlier winner, on the same rows of a sample."""
+    f = checkpoint(feat_vectors(spark, sf_dir, "class"))
+    earlier = kmeans.fit_kmeans(f, 2, n_init=3).labels(f)
+    clock = txn(spark, sf_dir).select("row_id", F.col("time_s").alias("time"))
+    out = deep_audit.deep_and_audit(
+        f.drop("class"), f.select("row_id", "class"), FEATURES, earlier, clock, scratch_path(spark, "deep"), _BRIEF
+    )
+    return rounded(out["track"].drop("runtime_s"))
