@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import checkpoint, kept
 from .algorithms import fit_algorithm
 from .contingency import agreement, contingency, external_scores
 from .internal_scores import EXTERNAL, INTERNAL, DegenerateClustering, higher_is_better, score_internal, silhouette_rows
@@ -48,12 +48,13 @@ def record(name: str, k: int, labels: DataFrame, runtime: float) -> RunRecord:
 
 def score_run(run: RunRecord, df: DataFrame, truth: DataFrame | None = None, *, metrics=INTERNAL, sample_size: int | None = 5000, seed: int = 0) -> RunRecord:
     """Add scores; one that is undefined becomes NaN and the sweep goes on."""
-    joined = df.select("row_id", "features").join(run.labels, "row_id")
-    for m in metrics:
-        try:
-            run.scores[m] = score_internal(m, joined, sample_size=sample_size, seed=seed)
-        except DegenerateClustering:
-            run.scores[m] = float("nan")
+    # joined once for all metrics
+    with kept(df.select("row_id", "features").join(run.labels, "row_id")) as joined:
+        for m in metrics:
+            try:
+                run.scores[m] = score_internal(m, joined, sample_size=sample_size, seed=seed)
+            except DegenerateClustering:
+                run.scores[m] = float("nan")
     if truth is not None:
         cells = contingency(run.labels.join(truth, "row_id"), "class", "cluster")
         row = external_scores(cells).first()

@@ -962,9 +962,9 @@ def stream_monitor(spark, sf_dir):
 # --- whole compositions --------------------------------------------------------------------------------
 
 _BRIEF = Settings(
-    hopkins_probes=200, hopkins_repeats=2, vat_prototypes=64, ks=(2, 3, 4), n_init=3, full_algorithms=("kmeans", "gmm"),
-    sample_algorithms=("kmeans", "ward", "gmm", "hdbscan"), options={"hdbscan": {"min_cluster_size": 25, "min_samples": 5}},
-    portfolio_n=1000, k_selection_n=1000, silhouette_sample=500, gap_refs=2, resamples=3, n_seeds=3, consensus_n=200, n_worst=50,
+    hopkins_probes=200, hopkins_repeats=2, vat_prototypes=64, ks=(2, 3), n_init=3, full_algorithms=("kmeans",),
+    sample_algorithms=("ward", "gmm", "hdbscan"), options={"hdbscan": {"min_cluster_size": 25, "min_samples": 5}},
+    portfolio_n=1000, k_selection_n=1000, silhouette_sample=500, gap_refs=1, resamples=3, n_seeds=2, consensus_n=200, n_worst=50,
     train_n=2000, latent=3, hidden=(8,), ae_epochs=5, ft_epochs=3, dec_epochs=4, replicates=100,
 )
 
