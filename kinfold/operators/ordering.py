@@ -167,7 +167,9 @@ def within_cutoff(key: str, row_id: str, cutoffs: dict[tuple, tuple], groups: li
 
 
 # Values that the built-in exact percentile may hold in one buffer.
-PERCENTILE_ROWS = SINGLE_TASK_ROWS
+PERCENTILE_ROWS = 1_000_000
+# Quantile brackets that one scan confirms; keeps the generated code of moderate size.
+_COUNTS_PER_SCAN = 64
 
 
 def exact_quantiles(
@@ -207,15 +209,15 @@ def exact_quantiles(
         test = test & (v >= F.lit(lo)) if lo is not None else test
         return test & (v <= F.lit(hi)) if hi is not None else test
 
-    tests = [
-        e
-        for i, (c, _) in enumerate(targets)
-        for e in (
-            (F.count_if(as_double[c] < F.lit(ranges[i][0])) if ranges[i][0] is not None else F.lit(0).cast("bigint")).alias(f"b{i}"),
-            F.count_if(inside(i)).alias(f"i{i}"),
-        )
-    ]
-    seen = df.agg(*tests).first()
+    seen: dict[str, int] = {}
+    for first in range(0, len(targets), _COUNTS_PER_SCAN):  # each scan reads only the columns it counts
+        some = range(first, min(first + _COUNTS_PER_SCAN, len(targets)))
+        below_lo = [
+            F.count_if(as_double[targets[i][0]] < F.lit(ranges[i][0])) if ranges[i][0] is not None else F.max(F.lit(0).cast("bigint"))
+            for i in some
+        ]
+        tests = [e for i, b in zip(some, below_lo) for e in (b.alias(f"b{i}"), F.count_if(inside(i)).alias(f"i{i}"))]
+        seen.update(df.agg(*tests).first().asDict())
     quotas, sizes, stats = {}, {}, {}
     for i, (c, r) in enumerate(targets):
         below, within = seen[f"b{i}"], seen[f"i{i}"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import squared_euclidean
+from .geometry import Centroids, own_centroid_distance
 from .internal_scores import DegenerateClustering, silhouette_rows
 from .ordering import exact_quantiles
 from .sampling import simple_sample
@@ -131,13 +131,8 @@ def exemplars(df: DataFrame, *, sample_size: int | None = 10_000, seed: int = 0)
         return df.sparkSession.createDataFrame(
             [], "cluster bigint, medoid_id bigint, best_id bigint, best_silhouette double, boundary_id bigint, boundary_silhouette double"
         )
-    d = live.select(F.size("features").alias("d")).first()["d"]
-    mid = live.groupBy("cluster").agg(F.array(*[F.avg(F.col("features")[i]) for i in range(d)]).alias("centroid"))
-    medoid = (
-        live.join(F.broadcast(mid), "cluster")
-        .groupBy("cluster")
-        .agg(F.min_by("row_id", F.struct(squared_euclidean(F.col("features"), F.col("centroid")).alias("d"), F.col("row_id"))).alias("medoid_id"))
-    )
+    placed = own_centroid_distance(live, Centroids.fit(live))
+    medoid = placed.groupBy("cluster").agg(F.min_by("row_id", F.struct("distance", "row_id")).alias("medoid_id"))
     ends = sil.groupBy("cluster").agg(
         F.max_by(F.struct("row_id", "silhouette"), F.struct("silhouette", -F.col("row_id"))).alias("b"),
         F.min_by(F.struct("row_id", "silhouette"), F.struct("silhouette", "row_id")).alias("w"),

@@ -6,10 +6,12 @@ import heapq
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import u01
+from ..functions.vectors import pair_distances
 from ..session import TooLarge
 from .geometry import log_sum_exp, width
 from .pairs import query_neighbours, tree_edges
@@ -18,6 +20,7 @@ from .spanning import minimum_tree
 
 MAX_PROBES = 20_000
 MAX_IMAGE = 5_000
+MAX_PIXELS = 1_000  # rows of a drawn picture, which has a cell per pair
 
 
 def box_of(df: DataFrame) -> list[tuple[float, float]]:
@@ -138,14 +141,24 @@ def prototype_rows(spark, protos) -> DataFrame:
     )
 
 
-def reordered_image(df: DataFrame, order: DataFrame, *, max_rows: int = MAX_IMAGE) -> DataFrame:
-    """``(i, j, distance)`` for a bounded picture, both ends renumbered by position, i < j."""
-    from ..functions.vectors import euclidean
+def reordered_image(df: DataFrame, order: DataFrame, *, max_rows: int = MAX_PIXELS) -> DataFrame:
+    """``(i, j, distance)`` for a bounded picture, both ends renumbered by position, i < j.
 
+    The picture's rows are bounded by the check; its lines are drawn in parallel.
+    """
     placed = df.join(order, "row_id").select("position", "features")
     n = placed.count()
     if n > max_rows:
         raise TooLarge(f"{n} rows make no readable picture; the limit is {max_rows}")
-    a = placed.select(F.col("position").alias("i"), F.col("features").alias("fa"))
-    b = placed.select(F.col("position").alias("j"), F.col("features").alias("fb"))
-    return a.join(F.broadcast(b), F.col("i") < F.col("j")).select("i", "j", euclidean(F.col("fa"), F.col("fb")).alias("distance"))
+    t = placed.orderBy("position").toArrow()
+    x = t.column("features").combine_chunks().flatten().to_numpy().astype(float).reshape(n, -1)
+
+    def draw(batches):
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                d = pair_distances(x[i : i + 1], x[i + 1 :])[0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(d), i)), pa.array(np.arange(i + 1, n)), pa.array(d)], names=["i", "j", "distance"]
+                )
+
+    return df.sparkSession.range(n).mapInArrow(draw, "i bigint, j bigint, distance double")
