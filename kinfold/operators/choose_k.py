@@ -14,7 +14,7 @@ from ..functions.hashing import poisson_weights
 from ..functions.vectors import batches_of, matrix, total_vectors, values
 from ..session import checkpoint
 from .geometry import nearest_rows
-from .internal_scores import DegenerateClustering, silhouette
+from .internal_scores import DegenerateClustering, scoring_sample, silhouette
 from .kmeans import KMeansFit, fit_many, log_inertia
 from .mixture import fit_mixtures
 from .tendency import box_of, uniform_rows
@@ -60,10 +60,10 @@ def by_elbow(fits: dict[int, KMeansFit]) -> KChoice:
 
 
 def by_silhouette(df: DataFrame, fits: dict[int, KMeansFit], *, sample_size: int | None = 5000, seed: int = 0) -> KChoice:
-    scores = {}
+    scores, rows = {}, scoring_sample(df, sample_size, seed)
     for k, f in sorted(fits.items()):
         try:
-            scores[k] = float(silhouette(f.labels(df, "row_id", "features"), sample_size=sample_size, seed=seed).first()[0])
+            scores[k] = float(silhouette(f.labels(rows, "row_id", "features")).first()[0])
         except DegenerateClustering:
             scores[k] = float("-inf")
     best = max(scores, key=lambda k: (scores[k], -k))

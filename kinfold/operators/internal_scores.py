@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import batches_of, matrix, total_vectors, values
-from ..session import TooLarge, bounded_rows
+from ..session import TooLarge, bounded_rows, checkpoint
 from .geometry import Centroids, dispersion, one_row
 from .pairs import cluster_distance_sums, pair_summary
 from .sampling import lowest_hash, simple_sample
@@ -74,6 +74,13 @@ def silhouette_rows(df: DataFrame, *, metric: str = "euclidean", sample_size: in
     return parts.select("row_id", "cluster", value.alias("silhouette"))
 
 
+def scoring_sample(df: DataFrame, sample_size: int | None, seed: int = 0) -> DataFrame:
+    """The rows a silhouette without noise would sample, stored once for many labellings of one table."""
+    if sample_size is None:
+        return df
+    return checkpoint(simple_sample(df.select("row_id", "features"), sample_size, tag="silhouette", seed=seed))
+
+
 def silhouette(df: DataFrame, **kwargs) -> DataFrame:
     return silhouette_rows(df, **kwargs).agg(F.avg("silhouette").alias("silhouette"))
 
