@@ -25,10 +25,10 @@ class Settings:
     fit reads at most, drawn by a hash of their text. ``max_features``: n-grams kept, those with the
     most evidence for either class. ``min_docs``: documents that an n-gram must occur in."""
 
-    orders: tuple[int, ...] = (4, 5, 6)
-    max_labelled: int = 8_000
-    max_features: int = 30_000
-    min_docs: int = 5
+    orders: tuple[int, ...] = (4, 6, 8)
+    max_labelled: int = 16_000
+    max_features: int = 10_000
+    min_docs: int = 4
     alpha: float = 1.0
     reg: float = 1e-3
     max_iter: int = 60
