@@ -116,7 +116,7 @@ class UrlModel:
 
 def judge(
     pages: DataFrame, labelled: Sequence[tuple[str, str, int]] = tuple(LABELLED), rules=RULES,
-    id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5,
+    id_col: str = "page_id", url_col: str = "url", threshold: float = 0.6,
 ) -> DataFrame:
     """``(id, host, path, rule, verdict, score)`` per row; a rule decides where one fits, else the model.
 
