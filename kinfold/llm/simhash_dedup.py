@@ -129,8 +129,7 @@ def links(classes: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFram
     A spanning forest of each bucket, not every pair, so a group of near copies costs edges in
     proportion to its size. Buckets are counted with map-side combining before rows move.
     """
-    masks = masks_over(list(range(BITS)), radius)
-    rows, out = _keyed(classes, masks), None
+    rows, out = _keyed(classes, masks_over(list(range(BITS)), radius)), None
     for level in count():
         hot = checkpoint(
             rows.groupBy("mask", "key").count().where(F.col("count") > bucket).select("mask", "key")
@@ -144,12 +143,12 @@ def links(classes: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFram
         out = found if out is None else out.unionByName(found)
         if done:
             return out
-        finer = {m: [m | x for x in masks_over([b for b in range(BITS) if not m >> b & 1], radius)] for m in masks}
-        masks = sorted({x for xs in finer.values() for x in xs})
+        crowded = {r["mask"] % (1 << BITS) for r in hot.select("mask").distinct().collect()}  # of the few masks in use
+        finer = {m: [m | x for x in masks_over([b for b in range(BITS) if not m >> b & 1], radius)] for m in crowded}
         again = checkpoint(rows.join(hot, ["mask", "key"], "left_semi"))
         sets = classes.sparkSession.createDataFrame(
             [(_signed(m), [_signed(x) for x in sorted(set(xs))]) for m, xs in finer.items()], "mask long, _finer array<long>"
-        )  # 15 ** level short lists
+        )
         rows = (
             again.join(F.broadcast(sets), "mask")
             .select("node", "fp", F.explode("_finer").alias("mask"))
