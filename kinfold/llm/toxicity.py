@@ -22,7 +22,7 @@ CHUNK = 1 << 18
 @dataclass(frozen=True)
 class Settings:
     """``orders``: lengths of the n-grams in characters. ``max_labelled``: labelled documents that the
-    fit reads at most, drawn by a hash of their text. ``max_features``: n-grams kept, those with the
+    fit reads at most, drawn by a hash of their id. ``max_features``: n-grams kept, those with the
     most evidence for either class. ``min_docs``: documents that an n-gram must occur in."""
 
     orders: tuple[int, ...] = (4, 6, 8)
@@ -66,10 +66,9 @@ def distinct_grams(text: str, orders: tuple[int, ...]) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
 
 
-def sample_of(labelled: DataFrame, limit: int) -> DataFrame:
-    """At most ``limit`` distinct texts with a label, by the smallest hashes: the same rows on any cluster."""
-    one = labelled.groupBy(F.md5("_text").alias("_h")).agg(F.first("_text").alias("_text"), F.max("_y").alias("_y"))
-    return one.orderBy("_h").limit(limit)
+def sample_of(labels: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` labels, those whose ids have the smallest hashes: the same on any cluster."""
+    return labels.orderBy(F.xxhash64("_lid"), "_lid").limit(limit)
 
 
 def _gram_counts(batches: Iterator[pd.DataFrame], orders: tuple[int, ...]) -> Iterator[pd.DataFrame]:
@@ -83,14 +82,16 @@ def _gram_counts(batches: Iterator[pd.DataFrame], orders: tuple[int, ...]) -> It
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """Fit on ``labelled (_text, _y)``, ``_y`` 0 or 1. Counts and gradients are sums over partitions.
+    """Fit on the texts of ``labelled (_text, _y)``, ``_y`` 0 or 1, each text once; at most a drawn sample.
+    Counts and gradients are sums over partitions.
 
     Without labels every score is 0; with one class only, every score is that class's share.
     Fitting minimises the logistic loss over the whole drawn sample with Spark's own solver.
     """
     s = settings
     bounded_batches(labelled.sparkSession)
-    sample = checkpoint(sample_of(labelled, s.max_labelled).repartition(labelled.sparkSession.sparkContext.defaultParallelism))
+    once = labelled.groupBy(F.md5("_text").alias("_h")).agg(F.first("_text").alias("_text"), F.max("_y").alias("_y"))
+    sample = checkpoint(once)
     size = sample.agg(F.count("*").alias("n"), F.sum("_y").alias("p")).first()
     none = np.zeros(0)
     if not size["n"] or size["p"] in (0, size["n"]):
@@ -171,8 +172,11 @@ def held_out(id_col: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", settings: Settings = Settings()) -> Model:
-    rows = docs.where(~held_out(id_col)).select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    return fit(rows.join(label_table(labels), F.col("_id") == F.col("_lid")).select("_text", "_y"), settings)
+    """Labels are drawn before they meet the texts, so the join is a broadcast of ``max_labelled`` rows at most."""
+    drawn = sample_of(label_table(labels).where("_lid IS NOT NULL").where(~held_out("_lid")), settings.max_labelled)
+    check_broadcast(settings.max_labelled * 2, "drawn labels")
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    return fit(rows.join(F.broadcast(drawn), F.col("_id") == F.col("_lid")).select("_text", "_y"), settings)
 
 
 def score(
