@@ -17,6 +17,7 @@ from .common import bounded_batches, text_of
 
 FILTER_BITS = 22
 CHUNK = 1 << 18
+TASKS = 8  # of the fit, which works on a bounded sample
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,7 @@ class Settings:
     most evidence for either class. ``min_docs``: documents that an n-gram must occur in."""
 
     orders: tuple[int, ...] = (4, 6, 8)
-    max_labelled: int = 16_000
+    max_labelled: int = 10_000
     max_features: int = 10_000
     min_docs: int = 4
     alpha: float = 1.0
@@ -68,17 +69,33 @@ def distinct_grams(text: str, orders: tuple[int, ...]) -> np.ndarray:
 
 def sample_of(labels: DataFrame, limit: int) -> DataFrame:
     """At most ``limit`` labels, those whose ids have the smallest hashes: the same on any cluster."""
-    return labels.orderBy(F.xxhash64("_lid"), "_lid").limit(limit)
+    n = labels.count()
+    if n > 4 * limit:  # twice the share that is needed leaves the smallest hashes in, and little to sort
+        labels = labels.where(F.shiftrightunsigned(F.xxhash64("_lid"), 1) < int(2 * limit / n * (1 << 63)))
+    return labels.orderBy(F.shiftrightunsigned(F.xxhash64("_lid"), 1), "_lid").limit(limit)
 
 
-def _gram_counts(batches: Iterator[pd.DataFrame], orders: tuple[int, ...]) -> Iterator[pd.DataFrame]:
+def _gram_counts(batches: Iterator[pd.DataFrame], orders: tuple[int, ...], most: int = 2_000_000) -> Iterator[pd.DataFrame]:
+    """Documents per n-gram, all and toxic, summed over a task for as long as at most ``most`` n-grams are held."""
+
+    def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], np.add.reduceat(counts, first)
+
+    keys, counts = np.zeros(0, dtype=np.uint64), np.zeros((0, 2), dtype=np.int32)
     for rows in batches:
         grams = [distinct_grams(t, orders) for t in rows["_text"]]
-        y = np.repeat(rows["_y"].to_numpy(), [len(g) for g in grams])
-        keys, where = np.unique(np.concatenate(grams), return_inverse=True)
-        pos = np.bincount(where, weights=y, minlength=len(keys))
-        n = np.bincount(where, minlength=len(keys))
-        yield pd.DataFrame({"g": keys.view(np.int64), "pos": pos.astype(np.int64), "n": n.astype(np.int64)})
+        if not sum(map(len, grams)):
+            continue
+        y = np.repeat(rows["_y"].to_numpy().astype(np.int32), [len(g) for g in grams])
+        new, n = summed(np.concatenate(grams), np.stack([y, np.ones_like(y)], axis=1))
+        keys, counts = summed(np.concatenate([keys, new]), np.concatenate([counts, n]))
+        if len(keys) > most:
+            yield pd.DataFrame({"g": keys.view(np.int64), "pos": counts[:, 0], "n": counts[:, 1]})
+            keys, counts = keys[:0], counts[:0]
+    yield pd.DataFrame({"g": keys.view(np.int64), "pos": counts[:, 0], "n": counts[:, 1]})
 
 
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
@@ -91,7 +108,8 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     s = settings
     bounded_batches(labelled.sparkSession)
     once = labelled.groupBy(F.md5("_text").alias("_h")).agg(F.first("_text").alias("_text"), F.max("_y").alias("_y"))
-    sample = checkpoint(once)
+    # a sample of bounded size needs a fixed number of tasks, however many the session would use
+    sample = checkpoint(once.coalesce(TASKS))
     size = sample.agg(F.count("*").alias("n"), F.sum("_y").alias("p")).first()
     none = np.zeros(0)
     if not size["n"] or size["p"] in (0, size["n"]):
@@ -100,16 +118,17 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     p, q = size["p"], size["n"] - size["p"]
     counts = (
         sample.select("_text", "_y")
-        .mapInPandas(lambda it: _gram_counts(it, s.orders), "g long, pos long, n long")
+        .mapInPandas(lambda it: _gram_counts(it, s.orders), "g long, pos int, n int")
         .groupBy("g").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
         .where(F.col("n") >= s.min_docs)
+        .coalesce(TASKS)
     )
     # log of the ratio of smoothed shares, and how far the count lies from its expectation
     ratio = F.log((F.col("pos") + s.alpha) / (p + s.alpha)) - F.log((F.col("n") - F.col("pos") + s.alpha) / (q + s.alpha))
     expected = F.col("n") * (p / (p + q))
     evidence = F.abs(F.col("pos") - expected) / F.sqrt(expected * (q / (p + q)))
     best = counts.select("g", ratio.alias("r"), evidence.alias("e")).orderBy(F.desc("e"), "g").limit(s.max_features)
-    chosen = best.toPandas()  # at most max_features rows
+    chosen = checkpoint(best).toPandas()  # at most max_features rows
     grams = chosen["g"].to_numpy().view(np.uint64)
     order = np.argsort(grams)
     grams, r = grams[order], chosen["r"].to_numpy()[order]
