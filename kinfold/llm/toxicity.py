@@ -75,7 +75,7 @@ def sample_of(labels: DataFrame, limit: int) -> DataFrame:
     return labels.orderBy(F.shiftrightunsigned(F.xxhash64("_lid"), 1), "_lid").limit(limit)
 
 
-def _gram_counts(batches: Iterator[pd.DataFrame], orders: tuple[int, ...], most: int = 2_000_000) -> Iterator[pd.DataFrame]:
+def _gram_counts(batches: Iterator[pd.DataFrame], orders: tuple[int, ...], most: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Documents per n-gram, all and toxic, summed over a task for as long as at most ``most`` n-grams are held."""
 
     def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
