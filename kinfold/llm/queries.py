@@ -74,4 +74,31 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+        SELECT vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, vec_id = c.c AS kept
+        FROM v JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a""",
+    "op5_exact_dedup": """
+        WITH t AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY t)""",
+    # rates stay below 16 here, so that each document needs one draw
+    "op8_mix_sources": """
+        WITH s AS (SELECT source, sum(coalesce(length(text), 0) + 1)::DOUBLE AS size FROM documents GROUP BY source),
+        t AS (SELECT sum(size) AS n, sum(pow(size, 0.5)) AS w FROM s),
+        r AS (SELECT source, round(pow(size, 0.5) / w * n / size, 10) AS rate FROM s, t),
+        k AS (SELECT source, i, exp(-rate + i * ln(rate) - lgamma(i + 1)) AS p FROM r, range(60) AS x(i)),
+        c AS (SELECT source, i, sum(p) OVER (PARTITION BY source ORDER BY i) AS c FROM k),
+        d AS (SELECT *, ('0x' || substr(md5('17|' || doc_id || '|1'), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents),
+        m AS (SELECT d.*, (SELECT count(*) FROM c WHERE c.source = d.source AND c.c <= d.u) AS copies FROM d)
+        SELECT doc_id, text, lang, source, n_chars, j::INTEGER AS mix_copy,
+            ('0x' || substr(md5('18|' || doc_id || '|' || j), 1, 13))::BIGINT AS mix_key
+        FROM m, LATERAL (SELECT unnest(range(1, copies + 1)) AS j)""",
+}

@@ -133,6 +133,9 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raw = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
             seen += np.bincount(raw[raw < 128], minlength=128)
             found = [m.span() for m in CANDIDATE.finditer(text)]
+            if found:  # ordinary text is what lies outside of the tokens under test
+                inside = "".join(text[a:b] for a, b in found).encode("ascii")
+                seen -= np.bincount(np.frombuffer(inside, dtype=np.uint8), minlength=128)
             spans = base_spans(text, found)
             base.append(joined(spans))
             n.append([sum(k == kind for _, k, _ in spans) for kind in range(3)])
@@ -183,7 +186,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settin
     Spans are in characters, end exclusive: those of the fixed patterns, and ``random`` ones for runs of
     20 or more token characters outside them that (a) pass the battery for their inferred encoding and
     (b) are more even than ordinary text of their length can be: p-values against the character
-    frequencies of all documents, with the Benjamini-Hochberg rule over all tokens of all documents.
+    frequencies of all documents outside such runs, with the Benjamini-Hochberg rule over all tokens of all documents.
     Only the character counts and the histogram of p-values (both of fixed size) reach the driver.
 
     Null text is empty text, without spans (the hash is that of the empty string). Rows that repeat an

@@ -171,7 +171,7 @@ def scorer(model: Model, spark):
                 got = np.unique(np.concatenate(hits))
                 at = np.minimum(np.searchsorted(m.grams, got), len(m.grams) - 1)
                 z += m.weights[at[m.grams[at] == got]].sum()
-            return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+            return 0.0 if z == -np.inf else float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
 
         for texts in batches:
             yield pd.Series([one(t) for t in texts], dtype="float64")

@@ -310,7 +310,6 @@ def test_secrets(spark, documents):
         (8, "the" * 20 + " internationalization " * 4, "s"), (8, "a" * 60, "s"), (None, "secret: " + "Z" * 9, "s"), (9, "to\u212aen=abcdefgh", "s"),
     ]
     got = secrets.scan(docs_of(spark, rows))
-    texts = {(i, plain_base(t or "") and secrets.joined(plain_base(t or ""))) for i, t, _ in rows}
     found = {(r.doc_id, r.base_sha256): r for r in got.collect()}
     assert len(found) == len({(i, t or "") for i, t, _ in rows}) or len(found) >= 9
     for i, t, _ in rows:
@@ -319,7 +318,7 @@ def test_secrets(spark, documents):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for _, k, _ in base) for x in range(3)]
         assert set(filter(None, secrets.joined(base).split(","))) <= set(r.spans.split(","))
     random = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("random")] for r in found.values() if r.n_random}
-    assert random == {6: ["random:2:42"], 7: ["random:0:64"]} and texts
+    assert random == {6: ["random:2:42"], 7: ["random:0:64"]}
     for r in secrets.scan(documents).join(documents.select("doc_id", "text"), "doc_id").collect():
         assert r.base_sha256 == hashlib.sha256(secrets.joined(plain_base(r.text)).encode()).hexdigest()
     assert secrets.scan(documents.limit(0)).count() == 0
@@ -483,7 +482,7 @@ def test_licenses(spark, documents):
     assert got == sorted(((i, plain_licenses(t)) for i, t, _ in rows), key=repr)
     top = {r.doc_id: r for r in license_scan.scan(df).where("n_licenses > 0").collect()}
     assert top[4].best_license == "MIT" and top[4].best_dice == 1.0 and license_scan.scan(df).where("best_dice IS NULL").count() == 4
-    small = documents.where("n_chars < 3000")
+    small = documents.where("n_chars < 500")
     for r in license_scan.scan(small).join(small.select("doc_id", "text"), "doc_id").collect():
         assert r.licenses == plain_licenses(r.text)
     assert license_scan.scan(df.limit(0)).count() == 0
