@@ -156,16 +156,39 @@ def _add_up(batches: Iterable[pa.RecordBatch], keys: list[str]) -> dict[tuple, n
     return total
 
 
+# Share of the norms below which an expanded squared distance has lost too many digits.
+_CANCELLED = 1e-5
+_RECHECKED = 1 << 15  # pairs whose differences are held at once
+
+
+def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances of two blocks, good to about eleven digits whatever the number of columns.
+
+    The expanded form is one matrix product but cancels for close rows, so those pairs are taken
+    from their differences again; a row is at distance 0 from its copies.
+    """
+    if not len(a) or not len(b):
+        return np.zeros((len(a), len(b)))
+    middle = a.mean(0)
+    ca, cb = a - middle, b - middle
+    na, nb = (ca * ca).sum(1), (cb * cb).sum(1)
+    sq = na[:, None] + nb[None, :] - 2.0 * (ca @ cb.T)
+    i, j = np.nonzero(sq <= _CANCELLED * (na[:, None] + nb[None, :]))
+    for at in range(0, len(i), _RECHECKED):
+        p, q = i[at : at + _RECHECKED], j[at : at + _RECHECKED]
+        sq[p, q] = ((a[p] - b[q]) ** 2).sum(1)
+    return sq
+
+
 def pair_distances(a: np.ndarray, b: np.ndarray, metric: str = "euclidean") -> np.ndarray:
     """Distances between two blocks of rows held by one task."""
     if metric in ("euclidean", "l2"):
-        if a.shape[1] <= 16:  # exact differences; the expanded form loses digits near zero
+        if a.shape[1] <= 16:  # a loop over few columns costs no more than the matrix product
             out = np.zeros((len(a), len(b)))
             for j in range(a.shape[1]):
                 out += np.subtract.outer(a[:, j], b[:, j]) ** 2
             return np.sqrt(out)
-        sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        return np.sqrt(np.maximum(sq, 0.0))
+        return np.sqrt(squared_distances(a, b))
     if metric in ("manhattan", "l1"):
         out = np.zeros((len(a), len(b)))
         for j in range(a.shape[1]):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Transformer
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +26,25 @@ def build_features(
 
 
 class FeatureBuilder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """The same projection as a pipeline stage; stateless, so fitting is a no-op."""
+    """The same projection as a pipeline stage; stateless, so fitting is a no-op. Saved with all its settings."""
+
+    keep = Param(Params._dummy(), "keep", "columns kept as they are", TypeConverters.toListString)
+    time = Param(Params._dummy(), "time", "column of seconds", TypeConverters.toString)
+    amount = Param(Params._dummy(), "amount", "column whose logarithm is taken", TypeConverters.toString)
+    period = Param(Params._dummy(), "period", "seconds of one round of the circle", TypeConverters.toFloat)
 
     def __init__(self, keep=(), time="time", amount="amount", period=86400.0):
         super().__init__()
-        self.keep, self.time, self.amount, self.period = list(keep), time, amount, period
+        self._set(keep=list(keep), time=time, amount=amount, period=period)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return build_features(dataset, self.keep, time=self.time, amount=self.amount, period=self.period)
+        get = self.getOrDefault
+        return build_features(
+            dataset, get(self.keep), time=get(self.time), amount=get(self.amount), period=get(self.period)
+        )
 
     def feature_names_out(self) -> list[str]:
-        return [*self.keep, "log_amount", "time_sin", "time_cos"]
+        return [*self.getOrDefault(self.keep), "log_amount", "time_sin", "time_cos"]
 
 
 def cyclic_phase(sin: str = "time_sin", cos: str = "time_cos") -> Column:

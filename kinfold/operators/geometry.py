@@ -114,7 +114,10 @@ class Centroids:
 
 
 # Up to this many centroid numbers a distance is compiled arithmetic; beyond, a vectorised function.
+# Either way gives the same answer; only the speed differs.
 _COMPILED_CELLS = 256
+# Rounding of an expanded squared distance, as a share of the norms.
+_NEAR_TIE = 1e-13
 
 
 def _squared(features: Column, point: np.ndarray) -> Column:
@@ -189,7 +192,14 @@ def nearest_rows(x: np.ndarray, points: np.ndarray, block: int = 4_000_000) -> t
     step = max(1, block // max(1, len(points)))
     for i in range(0, len(x), step):
         b = x[i : i + step]
-        near = np.argmin(pn[None, :] - 2.0 * (b @ points.T), axis=1)
+        score = pn[None, :] - 2.0 * (b @ points.T)
+        near = np.argmin(score, axis=1)
+        # centres too close to the best for the expanded form are compared by their differences, ties to the first
+        low = score[np.arange(len(b)), near][:, None]
+        rival = score <= low + _NEAR_TIE * ((b * b).sum(1)[:, None] + pn[None, :])
+        for r in np.flatnonzero(rival.sum(1) > 1):
+            close = np.flatnonzero(rival[r])
+            near[r] = close[((b[r] - points[close]) ** 2).sum(1).argmin()]
         best[i : i + step] = near
         dist[i : i + step] = np.sqrt(((b - points[near]) ** 2).sum(1))
     return best, dist
@@ -198,7 +208,10 @@ def nearest_rows(x: np.ndarray, points: np.ndarray, block: int = 4_000_000) -> t
 def own_centroid_distance(
     df: DataFrame, centroids: Centroids, *, features: str = "features", cluster: str = "cluster"
 ) -> DataFrame:
-    """Add ``distance``: to the row's own centroid, or to the nearest one for noise."""
+    """Add ``distance``: to the row's own centroid, or to the nearest one for noise (label -1).
+
+    A label that has no centroid, or none at all, has no distance (null).
+    """
     f, c = F.col(features), F.col(cluster)
     if centroids.points.size <= _COMPILED_CELLS:
         squares = [_squared(f, p) for p in centroids.points]
@@ -212,14 +225,17 @@ def own_centroid_distance(
 
     @F.arrow_udf("double")
     def own_distance(feats: pa.Array, cl: pa.Array) -> pa.Array:
-        x = rows_of(feats)
-        at = pc.index_in(cl.cast(ids.type), ids)
+        x, cl = rows_of(feats), cl.cast(ids.type)
+        at = pc.index_in(cl, ids)
         known = at.is_valid().to_numpy(zero_copy_only=False)
         at = pc.fill_null(at, 0).to_numpy(zero_copy_only=False)
         dist = np.sqrt(((x - points[at]) ** 2).sum(1))
-        if not known.all():
-            dist[~known] = nearest_rows(x[~known], points)[1]
-        return pa.array(dist)
+        noise = np.zeros(len(x), bool)
+        if not pa.types.is_string(ids.type):
+            noise = pc.fill_null(pc.equal(cl, -1), False).to_numpy(zero_copy_only=False)
+        if noise.any():
+            dist[noise] = nearest_rows(x[noise], points)[1]
+        return pa.array(dist, mask=~(known | noise))
 
     return df.withColumn("distance", own_distance(f, c))
 

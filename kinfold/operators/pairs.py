@@ -65,12 +65,17 @@ def pair_map(
 
 
 def _lowest(ids: np.ndarray, other: np.ndarray, dist: np.ndarray, k: int):
-    """Per row the k nearest columns of a distance block."""
-    k = min(k, dist.shape[1])
-    near = np.argpartition(dist, k - 1, axis=1)[:, :k] if k < dist.shape[1] else np.tile(np.arange(k), (len(ids), 1))
-    d = np.take_along_axis(dist, near, axis=1)
-    keep = np.isfinite(d)
-    return np.repeat(ids, k).reshape(len(ids), k)[keep], other[near][keep], d[keep]
+    """Per row the k nearest columns of a distance block; at equal distance the lower id comes first."""
+    order = np.argsort(other, kind="stable")
+    other, dist = other[order], dist[:, order]
+    keep = np.isfinite(dist)
+    if k < dist.shape[1]:
+        kth = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
+        nearer, tied = dist < kth, dist == kth
+        room = k - nearer.sum(axis=1, keepdims=True)
+        keep &= nearer | (tied & (np.cumsum(tied, axis=1) <= room))
+    at, near = np.nonzero(keep)
+    return ids[at], other[near], dist[at, near]
 
 
 def _top_k(found: DataFrame, k: int) -> DataFrame:

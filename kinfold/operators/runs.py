@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -84,10 +85,15 @@ def rank(runs: list[RunRecord], metric: str) -> list[RunRecord]:
 
 
 def agreement_matrix(runs: list[RunRecord]) -> DataFrame:
-    """Pairwise ARI of all labellings in long form, noise kept as a label."""
-    out = None
+    """Pairwise ARI of all labellings in long form, noise kept as a label.
+
+    Runs that share a name are told apart by their place among them: the second is ``name#2``.
+    """
+    out, seen = None, Counter()
     for r in runs:
-        one = r.labels.select("row_id", F.lit(r.name).alias("run"), F.col("cluster").cast("bigint").alias("cluster"))
+        seen[r.name] += 1
+        name = r.name if seen[r.name] == 1 else f"{r.name}#{seen[r.name]}"
+        one = r.labels.select("row_id", F.lit(name).alias("run"), F.col("cluster").cast("bigint").alias("cluster"))
         out = one if out is None else out.unionByName(one)
     return agreement(out)
 

@@ -75,14 +75,17 @@ def hopkins(df: DataFrame, *, sample_size: int | None = None, seed: int = 0) ->
 
 
 def null_control(df: DataFrame, *, repeats: int = 5, sample_size: int | None = None, seed: int = 0) -> DataFrame:
-    """The same statistic on even noise of the same shape: one row per repeat."""
-    n, d = df.count(), width(df)
+    """The same statistic on even noise in the data's own box: one row per repeat, with mean and population deviation."""
+    n, box = df.count(), box_of(df)
     spark = df.sparkSession
-    rows = []
+    values = []
     for r in range(repeats):
-        noise = uniform_rows(spark, n, [(0.0, 1.0)] * d, tag="null", seed=seed + r)
-        rows.append((r, hopkins(noise, sample_size=sample_size, seed=seed + r)))
-    return spark.createDataFrame(rows, "repeat int, hopkins double")
+        noise = uniform_rows(spark, n, box, tag="null", seed=seed + r)
+        values.append(hopkins(noise, sample_size=sample_size, seed=seed + r))
+    mean, std = float(np.mean(values)), float(np.std(values))
+    return spark.createDataFrame(
+        [(r, v, mean, std) for r, v in enumerate(values)], "repeat int, hopkins double, mean double, std double"
+    )
 
 
 def repeated_hopkins(df: DataFrame, *, repeats: int = 5, sample_size: int | None = None, threshold: float = 0.6, seed: int = 0) -> DataFrame:

@@ -574,7 +574,8 @@ def dunn(spark, sf_dir):
 def error_analysis(spark, sf_dir):
     e = emb(spark, sf_dir).withColumn("y", F.when(F.col("cluster") >= 5, 1).otherwise(0))
     out = runs.error_analysis(e, label="y", n_worst=50, sample_size=None)
-    return rounded(out.drop("per_cluster_counts").withColumn("n_inspected", F.col("n_inspected")))
+    counts = F.transform(F.map_entries("per_cluster_counts"), lambda x: F.concat_ws(":", x["key"], x["value"]))
+    return rounded(out.withColumn("per_cluster_counts", F.array_join(counts, ",")))
 
 
 @query
@@ -583,9 +584,10 @@ def ranked_scores(spark, sf_dir):
     per = txn(spark, sf_dir).groupBy("grp").agg(
         F.when(F.max("class") == 1, F.lit(float("nan"))).otherwise(F.avg("amount")).alias("score")
     )
-    ordered = ranking.rank_runs(per, "score", True)
-    best = ordered.limit(2)
-    return rounded(best)
+    # a handful of groups; the score is shown as null where it is undefined
+    places = ranking.rank_runs(per, "score", True).agg(F.collect_list(F.struct("grp", "score")).alias("all"))
+    ranked = places.select(F.posexplode("all").alias("place", "run"))
+    return rounded(ranked.select("run.grp", F.nanvl("run.score", F.lit(None)).alias("score"), "place"))
 
 
 @query

@@ -266,9 +266,11 @@ add("dunn", f"""WITH {SQL_EMB} SELECT {r('''(SELECT min(list_distance(a.c, b.c))
 add("error_analysis", f"""WITH {_SIL}, wr AS (SELECT * FROM sil ORDER BY s, row_id LIMIT 50)
 SELECT count(*) AS n_inspected, {r("max(s)")} AS threshold, {r("(SELECT avg(s) FROM sil)")} AS mean_silhouette,
   {r("(SELECT avg(CASE WHEN s < 0 THEN 1.0 ELSE 0.0 END) FROM sil)")} AS frac_negative_silhouette,
+  (SELECT string_agg(cluster || ':' || n, ',' ORDER BY cluster) FROM (SELECT cluster, count(*) AS n FROM wr GROUP BY cluster)) AS per_cluster_counts,
   {r("avg(CASE WHEN cluster >= 5 THEN 1.0 ELSE 0.0 END)")} AS label_rate_worst,
   {r("(SELECT avg(CASE WHEN cluster >= 5 THEN 1.0 ELSE 0.0 END) FROM emb)")} AS label_rate_overall FROM wr""")
-add("ranked_scores", f"""WITH {SQL_TXN} SELECT grp, {r("score")} AS score FROM (SELECT grp, avg(amount) AS score FROM txn GROUP BY grp HAVING max(class) = 0 ORDER BY score DESC LIMIT 2)""")
+add("ranked_scores", f"""WITH {SQL_TXN}, s AS (SELECT grp, CASE WHEN max(class) = 0 THEN avg(amount) END AS score FROM txn GROUP BY grp)
+SELECT grp, {r("score")} AS score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST) - 1 AS INTEGER) AS place FROM s""")
 _labs = ", ".join(f"CASE WHEN {sql_u01('row_id', 'drawn', q)} >= 0.3 THEN CAST(floor({sql_u01('row_id', 'lab', q)} * 3) AS INTEGER) END AS l{q}" for q in range(5))
 _co = " + ".join(f"coalesce(CAST(a.l{q} = b.l{q} AS INTEGER), 0)" for q in range(5))
 _dr = " + ".join(f"CAST(a.l{q} IS NOT NULL AND b.l{q} IS NOT NULL AS INTEGER)" for q in range(5))

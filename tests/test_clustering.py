@@ -160,5 +160,8 @@ def test_runs_score_compare_and_rank(spark, three):
     assert [r.algorithm for r in runs.rank([flat, good], "davies_bouldin")] == ["kmeans", "flat"]
     matrix = {(r["run_a"], r["run_b"]): r["ari"] for r in runs.agreement_matrix([good, flat]).collect()}
     assert len(matrix) == 4 and matrix[good.name, good.name] == 1.0
+    other = runs.record("kmeans", 3, three.select("row_id", (F.col("row_id") % 3).alias("cluster")), 0.0)
+    matrix = {(r["run_a"], r["run_b"]): r["ari"] for r in runs.agreement_matrix([good, other]).collect()}
+    assert len(matrix) == 4 and abs(matrix[good.name, f"{good.name}#2"]) < 0.2  # same name, other labels
     err = runs.error_analysis(three.join(good.labels, "row_id"), label="truth", n_worst=20).first()
     assert err["n_inspected"] == 20 and err["threshold"] <= err["mean_silhouette"] and sum(err["per_cluster_counts"].values()) == 20

@@ -165,3 +165,34 @@ def test_co_association_counts_every_pair_once(spark):
     )
     got = {(r["co"], r["drawn"]): r["pairs"] for r in stability.co_association_counts(labels).collect()}
     assert got == {(2, 2): 1, (1, 2): 1, (2, 3): 1}
+
+
+def test_distances_of_wide_rows_keep_their_digits():
+    x = np.random.default_rng(0).normal(size=(40, 64)) * 100
+    x[1] = x[0]
+    x[2] = x[0]
+    x[2, 0] += 4e-7
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    assert np.allclose(pair_distances(x, x), want, rtol=1e-9, atol=0)
+    assert pair_distances(x, x)[0, 1] == 0 and (np.diag(pair_distances(x, x)) == 0).all()
+
+
+def test_neighbours_at_equal_distance_come_by_id(spark):
+    x = np.zeros((12, 64))
+    x[6:] = 1.0
+    for order in (np.arange(12), np.arange(12)[::-1]):
+        df = spark.createDataFrame([(int(i), x[i].tolist()) for i in order], "row_id bigint, features array<double>")
+        rows = pairs.self_neighbours(df, 2, block_rows=4).collect()
+        found = sorted((r["row_id"], r["rank"], r["neighbour"], r["distance"]) for r in rows)
+        want = [(i, k + 1, j, 0.0) for i in range(12) for k, j in enumerate([j for j in range(12) if j != i and j // 6 == i // 6][:2])]
+        assert found == want
+
+
+@pytest.mark.parametrize("columns", [3, 300])
+def test_labels_without_a_centroid_have_no_distance(spark, columns):
+    x = np.zeros((4, columns))
+    x[1:, 0] = 2.0
+    df = frame(spark, x, cluster=np.array([0, 1, -1, 7]))
+    centroids = geometry.Centroids([0, 1], np.stack([x[0], x[1]]))
+    rows = geometry.own_centroid_distance(df, centroids).orderBy("row_id").collect()
+    assert [r["distance"] for r in rows] == [0.0, 0.0, 0.0, None]

@@ -78,11 +78,15 @@ def test_dedupe_keeps_the_first_row_and_counts(spark):
     assert (stats["input_rows"], stats["dropped_rows"], stats["positive_rows"], stats["negative_rows"]) == (3, 1, 1, 1)
 
 
-def test_features_and_scaling(spark):
+def test_features_and_scaling(spark, tmp_path):
     df = spark.createDataFrame([(0.0, 0.0, 1.0), (21600.0, 9.0, 3.0)], "time double, amount double, v double")
     rows = features.FeatureBuilder(["v"]).transform(df).collect()
     assert rows[0]["log_amount"] == 0.0 and rows[0]["time_cos"] == pytest.approx(1.0)
     assert rows[1]["time_sin"] == pytest.approx(1.0) and rows[1]["time_cos"] == pytest.approx(0.0, abs=1e-12)
+    path = str(tmp_path / "stage")
+    features.FeatureBuilder(["v"], time="v", period=12.0).save(path)
+    again = features.FeatureBuilder.load(path)
+    assert again.feature_names_out()[0] == "v" and again.transform(df).first()["time_sin"] == pytest.approx(0.5)
     with pytest.raises(ValueError):
         features.scale(df, "nonsense", ["v"], [])
     scaled = features.scale(df, "hybrid", ["v"], ["amount"]).collect()
