@@ -197,9 +197,14 @@ def nearest_rows(x: np.ndarray, points: np.ndarray, block: int = 4_000_000) -> t
         # centres too close to the best for the expanded form are compared by their differences, ties to the first
         low = score[np.arange(len(b)), near][:, None]
         rival = score <= low + _NEAR_TIE * ((b * b).sum(1)[:, None] + pn[None, :])
-        for r in np.flatnonzero(rival.sum(1) > 1):
-            close = np.flatnonzero(rival[r])
-            near[r] = close[((b[r] - points[close]) ** 2).sum(1).argmin()]
+        unsure = np.flatnonzero(rival.sum(1) > 1)
+        few = max(1, 32_768 // len(points))
+        for at in range(0, len(unsure), few):
+            rows = unsure[at : at + few]
+            r, c = np.nonzero(rival[rows])
+            exact = np.full((len(rows), len(points)), np.inf)
+            exact[r, c] = ((b[rows[r]] - points[c]) ** 2).sum(1)
+            near[rows] = exact.argmin(1)
         best[i : i + step] = near
         dist[i : i + step] = np.sqrt(((b - points[near]) ** 2).sum(1))
     return best, dist
