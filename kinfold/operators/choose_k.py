@@ -59,7 +59,7 @@ def by_elbow(fits: dict[int, KMeansFit]) -> KChoice:
     return KChoice("elbow", elbow_point(inertias), inertias, False)
 
 
-def by_silhouette(df: DataFrame, fits: dict[int, KMeansFit], *, sample_size: int | None = 5000, seed: int = 0) -> KChoice:
+def by_silhouette(df: DataFrame, fits: dict[int, KMeansFit], *, sample_size: int | None = None, seed: int = 0) -> KChoice:
     scores, rows = {}, scoring_sample(df, sample_size, seed)
     for k, f in sorted(fits.items()):
         try:

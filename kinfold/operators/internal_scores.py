@@ -2,31 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import batches_of, matrix, total_vectors, values
 from ..session import TooLarge, bounded_rows, checkpoint
+from .contingency import external_scores
 from .geometry import Centroids, dispersion, one_row
 from .pairs import cluster_distance_sums, pair_summary
 from .sampling import lowest_hash, simple_sample
 
-HIGHER_IS_BETTER = {
-    "silhouette": True,
-    "davies_bouldin": False,
-    "calinski_harabasz": True,
-    "dunn": True,
-    "ari": True,
-    "nmi": True,
-    "ami": True,
-    "v_measure": True,
-    "purity": True,
-}
-INTERNAL = ("silhouette", "davies_bouldin", "calinski_harabasz", "dunn")
-EXTERNAL = ("ari", "nmi", "ami", "v_measure", "purity")
-
-
 class DegenerateClustering(ValueError):
     """Fewer than two non-noise clusters."""
 
@@ -144,43 +133,78 @@ def calinski_harabasz(df: DataFrame) -> DataFrame:
     return one_row(df.sparkSession, calinski_harabasz=float(score))
 
 
-def dunn(df: DataFrame, *, diameter_cap: int = 2000, seed: int = 0) -> DataFrame:
+def dunn(df: DataFrame, *, diameter_cap: int | None = None, seed: int = 0) -> DataFrame:
     """Smallest centroid distance over largest cluster diameter.
 
-    Diameters come from a hashed sample of at most ``diameter_cap`` rows per cluster.
+    Diameters are exact; with ``diameter_cap`` they come from a hashed sample of that many rows per cluster.
     """
     c = summarise(df)
-    live = df.where("cluster <> -1").select("row_id", "features", F.col("cluster").cast("bigint").alias("cluster"))
+    members = df.where("cluster <> -1").select("row_id", "features", F.col("cluster").cast("bigint").alias("cluster"))
     closest = min(np.delete(gap, i).min() for i, gap in enumerate(_centroid_gaps(c.points)))
-    sizes = {(i,): int(m) for i, m in zip(c.ids, c.sizes)}
-    members = lowest_hash(
-        live, {g: diameter_cap for g in sizes}, groups=["cluster"], tag="diameter", seed=seed, sizes=sizes
-    )
-    n = sum(min(m, diameter_cap) for m in sizes.values())
+    n = int(c.sizes.sum())
+    if diameter_cap is not None:
+        sizes = {(i,): int(m) for i, m in zip(c.ids, c.sizes)}
+        members = lowest_hash(
+            members, {g: diameter_cap for g in sizes}, groups=["cluster"], tag="diameter", seed=seed, sizes=sizes
+        )
+        n = sum(min(m, diameter_cap) for m in sizes.values())
     widest = pair_summary(members, within_only=True, n=n).agg(F.max("farthest").alias("d"))
     return widest.select(
         F.when(F.coalesce(F.col("d"), F.lit(0.0)) == 0, 0.0).otherwise(F.lit(float(closest)) / F.col("d")).alias("dunn")
     )
 
 
-SCORERS = {
-    "silhouette": silhouette,
-    "davies_bouldin": davies_bouldin,
-    "calinski_harabasz": calinski_harabasz,
-    "dunn": dunn,
+@dataclass(frozen=True)
+class Options:
+    """What scores can be told; each takes what concerns it. Samples are the caller's choice."""
+
+    metric: str = "euclidean"
+    sample_size: int | None = None
+    diameter_cap: int | None = None
+    seed: int = 0
+
+
+@dataclass(frozen=True)
+class Score:
+    """A score by name. ``of`` maps labelled vectors to one row; without it the score is read off contingency cells."""
+
+    higher_is_better: bool = True
+    of: Callable[[DataFrame, Options], DataFrame] | None = None
+
+
+SCORES = {
+    "silhouette": Score(of=lambda df, o: silhouette(df, metric=o.metric, sample_size=o.sample_size, seed=o.seed)),
+    "davies_bouldin": Score(False, of=lambda df, o: davies_bouldin(df)),
+    "calinski_harabasz": Score(of=lambda df, o: calinski_harabasz(df)),
+    "dunn": Score(of=lambda df, o: dunn(df, diameter_cap=o.diameter_cap, seed=o.seed)),
+    "ari": Score(),
+    "nmi": Score(),
+    "ami": Score(),
+    "v_measure": Score(),
+    "purity": Score(),
 }
+INTERNAL = tuple(n for n, s in SCORES.items() if s.of)
+EXTERNAL = tuple(n for n, s in SCORES.items() if not s.of)
+
+
+def _entry(name: str, among: tuple[str, ...]) -> Score:
+    if name not in among:
+        raise KeyError(f"unknown metric {name!r}; there are {', '.join(among)}")
+    return SCORES[name]
 
 
 def score_internal(name: str, df: DataFrame, **options) -> float:
-    """Score by name. Options a scorer does not take are ignored, so one set fits all."""
-    if name not in SCORERS:
-        raise KeyError(f"unknown internal metric {name!r}")
-    accepted = {"silhouette": ("metric", "sample_size", "seed"), "dunn": ("diameter_cap", "seed")}.get(name, ())
-    row = SCORERS[name](df, **{k: v for k, v in options.items() if k in accepted}).first()
-    return float(row[0])
+    """One internal score of labelled vectors. An option that no score knows is an error."""
+    return float(_entry(name, INTERNAL).of(df, Options(**options)).first()[0])
+
+
+def score_external(names: Sequence[str], cells: DataFrame) -> dict[str, float]:
+    """External scores of contingency cells ``(t, p, n)``, all from one pass."""
+    for name in names:
+        _entry(name, EXTERNAL)
+    row = external_scores(cells, ami="ami" in names).first()
+    return {name: float(row[name]) for name in names}
 
 
 def higher_is_better(name: str) -> bool:
-    if name not in HIGHER_IS_BETTER:
-        raise KeyError(f"unknown metric {name!r}")
-    return HIGHER_IS_BETTER[name]
+    return _entry(name, INTERNAL + EXTERNAL).higher_is_better

@@ -117,10 +117,10 @@ def overview(df: DataFrame, features: list[str], label: Column, *, cluster: str
     )
 
 
-def exemplars(df: DataFrame, *, sample_size: int | None = 10_000, seed: int = 0) -> DataFrame:
+def exemplars(df: DataFrame, *, sample_size: int | None = None, seed: int = 0) -> DataFrame:
     """Per cluster: the row nearest the centroid, the best-placed row and the most marginal one.
 
-    Works on at most ``sample_size`` non-noise rows; empty when fewer than two clusters are left.
+    Works on all non-noise rows, or on ``sample_size`` of them; empty when fewer than two clusters are left.
     """
     live = df.where("cluster <> -1").select("row_id", "features", F.col("cluster").cast("bigint").alias("cluster"))
     if sample_size is not None:

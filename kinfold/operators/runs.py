@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint, kept
 from .algorithms import fit_algorithm
-from .contingency import agreement, contingency, external_scores
-from .internal_scores import EXTERNAL, INTERNAL, DegenerateClustering, higher_is_better, score_internal, silhouette_rows
+from .contingency import agreement, contingency
+from .internal_scores import EXTERNAL, INTERNAL, DegenerateClustering, higher_is_better, score_external, score_internal, silhouette_rows
 
 
 @dataclass
@@ -47,7 +47,7 @@ def record(name: str, k: int, labels: DataFrame, runtime: float) -> RunRecord:
     return RunRecord(name, k, labels, runtime, row["c"], row["noise"], row["n"])
 
 
-def score_run(run: RunRecord, df: DataFrame, truth: DataFrame | None = None, *, metrics=INTERNAL, sample_size: int | None = 5000, seed: int = 0) -> RunRecord:
+def score_run(run: RunRecord, df: DataFrame, truth: DataFrame | None = None, *, metrics=INTERNAL, sample_size: int | None = None, seed: int = 0) -> RunRecord:
     """Add scores; one that is undefined becomes NaN and the sweep goes on."""
     # joined once for all metrics
     with kept(df.select("row_id", "features").join(run.labels, "row_id")) as joined:
@@ -58,8 +58,7 @@ def score_run(run: RunRecord, df: DataFrame, truth: DataFrame | None = None, *,
                 run.scores[m] = float("nan")
     if truth is not None:
         cells = contingency(run.labels.join(truth, "row_id"), "class", "cluster")
-        row = external_scores(cells).first()
-        run.scores.update({m: float(row[m]) for m in EXTERNAL})
+        run.scores.update(score_external(EXTERNAL, cells))
     return run
 
 
@@ -98,13 +97,13 @@ def agreement_matrix(runs: list[RunRecord]) -> DataFrame:
     return agreement(out)
 
 
-def worst_rows(df: DataFrame, *, n_worst: int = 200, sample_size: int | None = 20_000, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def worst_rows(df: DataFrame, *, n_worst: int = 200, sample_size: int | None = None, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """All scored rows, and the ``n_worst`` with the lowest silhouette."""
     scored = checkpoint(silhouette_rows(df, sample_size=sample_size, seed=seed))
     return scored, scored.orderBy("silhouette", "row_id").limit(n_worst)
 
 
-def error_analysis(df: DataFrame, *, label: str | None = None, n_worst: int = 200, sample_size: int | None = 20_000, seed: int = 0) -> DataFrame:
+def error_analysis(df: DataFrame, *, label: str | None = None, n_worst: int = 200, sample_size: int | None = None, seed: int = 0) -> DataFrame:
     """One row on the worst-fitting points, with the label's rate among them and in the whole table."""
     scored, worst = worst_rows(df, n_worst=n_worst, sample_size=sample_size, seed=seed)
     worst = checkpoint(worst)

@@ -13,7 +13,7 @@ from .algorithms import fit_algorithm
 from .choose_k import replicate_agreement
 from .contingency import agreement
 from .kmeans import fit_many
-from .linkage import _chain, cut_to_k
+from .linkage import _chain, cut
 from .pairs import Block, pair_map
 from .sampling import simple_sample
 
@@ -127,10 +127,7 @@ def consensus_labels(labels: DataFrame, k: int, *, threshold: float = 0.5, max_n
 
 def _exact_k(tree: np.ndarray, k: int) -> np.ndarray:
     """Undo the last k - 1 merges, which gives k groups even among equal heights."""
-    from .linkage import _components
-
-    n = len(tree) + 1
-    return cut_to_k(tree, k) if k >= n else _components(tree, n - k)
+    return cut(tree, merges=[max(0, len(tree) + 1 - k)]).groups[:, 0]
 
 
 def stability_summary(name: str, df: DataFrame, k: int, *, n_seeds: int, n_resamples: int = 20, fraction: float = 0.8, threshold: float = 0.5, max_n: int = 2000, seed: int = 0) -> dict:

@@ -3,7 +3,7 @@ import pytest
 from conftest import ari_of, blobs, frame
 from pyspark.sql import functions as F
 
-from kinfold.operators import algorithms, choose_k, density, kmeans, linkage, mixture, runs, stability
+from kinfold.operators import algorithms, choose_k, density, internal_scores, kmeans, linkage, mixture, runs, stability
 
 
 @pytest.fixture(scope="module")
@@ -53,9 +53,21 @@ def test_merge_tree_against_brute_force(method):
 def test_cuts():
     x = np.array([[0.0], [1.0], [10.0], [11.5]])
     tree = linkage.merge_tree(x, np.ones(4), "average")
-    assert len(set(linkage.cut_to_k(tree, 2))) == 2 and len(set(linkage.cut_at_height(tree, 1.2))) == 3
-    labels, height = linkage.cut_at_fraction(tree, 0.7)
-    assert len(set(labels)) == 2 and height == pytest.approx(0.7 * tree[-1, 2])
+    cuts = linkage.cut(tree, heights=[1.2, 0.0], fractions=[0.7], ks=[1, 2, 4, 9], merges=[0, 1, 3])
+    assert cuts.sizes.tolist() == [3, 4, 2, 1, 2, 4, 4, 4, 3, 1]
+    assert cuts.heights[2] == pytest.approx(0.7 * tree[-1, 2])
+    assert cuts.groups[:, 0].tolist() == [0, 0, 1, 2] and cuts.groups[:, 2].tolist() == [0, 0, 1, 1]
+    assert linkage.cut_to_k(tree, 2).tolist() == [0, 0, 1, 1]
+
+
+def test_silhouettes_of_nested_cuts_equal_those_of_each_cut(three):
+    fit = linkage.fit_linkage(three, m=40)
+    _, best, scores = linkage.cut_by_silhouette(three, fit, [2, 3, 5, 8])
+    got = {r["k"]: r["silhouette"] for r in scores.collect()}
+    for k, v in got.items():
+        alone = fit.labels(three, linkage.cut_to_k(fit.tree, k), "row_id", "features")
+        assert v == pytest.approx(internal_scores.silhouette(alone).first()[0])
+    assert best == 3 == max(got, key=got.get)
 
 
 def test_average_linkage_is_most_faithful(three):
