@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import audit, downstream, drift, geometry, kmeans, profiles, registry, runs, sampling, significance, surrogate
+from ..operators import audit, downstream, drift, geometry, profiles, registry, runs, sampling, significance, surrogate
 from ..operators.deep import training
 from ..session import checkpoint
 from ..sources import files
@@ -16,10 +16,16 @@ from .settings import Settings
 
 
 def deep_and_audit(
-    df: DataFrame, labels: DataFrame, names: list[str], preferred: DataFrame, clock: DataFrame, out: str, settings: Settings = Settings()
+    df: DataFrame, labels: DataFrame, names: list[str], preferred: DataFrame, clock: DataFrame, out: str, settings: Settings = Settings(),
+    *, attribute: str | None = None, data_version: str | None = None,
 ) -> dict[str, DataFrame]:
     """``df`` is ``(row_id, features)`` named by ``names``; ``preferred`` holds the earlier winner's
-    labels and ``clock`` is ``(row_id, time)``. Returns result tables, also written to ``out``."""
+    labels and ``clock`` is ``(row_id, time)``. Returns result tables, also written to ``out``.
+
+    The composition audit is by ``attribute``, one of ``names`` (else the first). The registered model is
+    the best of the learned ones, as its cluster centres; ``data_version`` is that of the source's manifest,
+    or else follows from the content of ``df``.
+    """
     s, spark = settings, df.sparkSession
     keyed = checkpoint(df.select("row_id", "features").join(labels, "row_id"))
     train = checkpoint(sampling.stratified_sample(keyed, s.train_n, seed=s.seed))
@@ -40,7 +46,8 @@ def deep_and_audit(
     found.append(runs.record("earlier_winner", k, earlier, 0.0))
     for run in found:
         runs.score_run(run, train, labels, sample_size=s.silhouette_sample, seed=s.seed)
-    best = runs.rank(found, "silhouette")[0]
+    learned = found[:-1]  # the earlier winner is there to compare with
+    best = runs.rank(learned, "silhouette")[0]
     labelled = checkpoint(train.join(best.labels, "row_id"))
     cis = None
     for run in found:
@@ -52,10 +59,10 @@ def deep_and_audit(
     tree = surrogate.fit_surrogate(labelled, names)
     scores, per_cluster = downstream.conditional_modelling(labelled, test_fraction=s.test_fraction, seed=s.seed)
     ranked = checkpoint(downstream.centroid_distances(labelled))
-    strata = audit.quantile_strata(wide, names[0], n_strata=s.n_strata)
+    strata = audit.quantile_strata(wide, attribute or names[0], n_strata=s.n_strata)
     timed = keyed.join(clock, "row_id").select("row_id", "time", *[F.col("features")[i].alias(n) for i, n in enumerate(names)])
-    axis, source = drift.split_axis(timed)
-    split = checkpoint(sampling.temporal_split(timed.withColumn("_axis", axis), "_axis"))
+    axis = drift.split_axis(timed)
+    split = checkpoint(sampling.temporal_split(timed.withColumn("_axis", axis.column), "_axis"))
     drifts = drift.feature_drift(split.where("half = 'early'"), split.where("half = 'late'"), names, threshold=s.psi_threshold)
     variants = {"pca": (geometry.fit_pca(train).project(train), "principal axes of the same rows")}
     tables = {
@@ -75,14 +82,19 @@ def deep_and_audit(
         "composition": audit.composition(strata),
         "sensitivity": audit.preprocessing_sensitivity(variants, best.labels, k, seed=s.seed),
         "drift": drifts,
-        "drift_report": drift.drift_report(drifts, threshold=s.psi_threshold).withColumn("axis", F.lit(source)),
+        "drift_report": drift.drift_report(drifts, threshold=s.psi_threshold).withColumn("axis", F.lit(str(axis))),
     }
     for name, t in tables.items():
         files.write_parquet(t, f"{out}/{name}")
-    fit = kmeans.fit_kmeans(train, k, seed=s.seed)
+    if data_version is None:
+        content = files.table_fingerprint(df, ["row_id", "features"]).first()
+        data_version = f"{content['row_count']}-{content['hash_total']}"
+    centres = labelled.where("cluster <> -1").groupBy("cluster").agg(
+        F.count("*").alias("size"), *[F.avg(F.col("features")[i]).alias(n) for i, n in enumerate(names)]
+    )
     registry.register_model(
-        spark, f"{out}/registry", name="clusters", algorithm=best.algorithm, k=k, data_version="unknown", n_rows=best.n_rows,
-        n_features=len(names), feature_space="scaled", params={"k": k}, metrics={m: v for m, v in best.scores.items() if v == v},
-        seeds={"seed": s.seed}, artifact=kmeans.centers_table(spark, fit), tags=["audited"],
+        spark, f"{out}/registry", name="clusters", algorithm=best.algorithm, k=k, data_version=data_version, n_rows=best.n_rows,
+        n_features=len(names), feature_space="scaled", params={"k": k, **shape}, metrics={m: v for m, v in best.scores.items() if v == v},
+        seeds={"seed": s.seed}, artifact=centres, tags=["audited"],
     )
     return reload(spark, out, list(tables))

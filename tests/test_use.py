@@ -104,7 +104,11 @@ def test_drift(spark):
     assert np.isfinite(far) and far > 1
     with pytest.raises(ValueError):
         drift.feature_drift(ref, cur.drop("b"), ["a", "b"])
-    assert "fallback" in drift.split_axis(ref.withColumnRenamed("a", "time_sin").withColumnRenamed("b", "time_cos"))[1]
+    clocked = ref.withColumnRenamed("a", "time_sin").withColumnRenamed("b", "time_cos").withColumn("time", F.lit(1.0))
+    assert str(drift.split_axis(clocked)) == "clock:time"
+    assert str(drift.split_axis(clocked.drop("time"))) == "phase:time_sin+time_cos"
+    gap = clocked.withColumn("time", F.when(F.col("time_sin") > 0, 1.0))
+    assert drift.split_axis(gap).kind == "phase"
 
 
 def test_names_follow_the_rules(spark):
