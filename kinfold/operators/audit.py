@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .contingency import contingency, external_scores
@@ -35,16 +35,15 @@ def composition(df: DataFrame, *, cluster: str = "cluster", stratum: str = "stra
     contingency table; combinations that do not occur have share and ratio 0.
     """
     cells = contingency(df, cluster, stratum)
-    n = F.col("n").cast("double")
-    sizes = cells.groupBy("t").agg(F.sum("n").alias("size"), F.lit(0).alias("_k"))
-    strata = cells.groupBy("p").agg(F.sum("n").alias("pop"), F.lit(0).alias("_k"))
-    strata = strata.withColumn("pop_share", F.col("pop") / F.sum("pop").over(Window.partitionBy("_k")))
-    # clusters x strata: two marginals of the contingency table, not rows
-    grid = sizes.join(strata, "_k").join(cells, ["t", "p"], "left")
-    share = F.coalesce(n, F.lit(0.0)) / F.col("size")
-    return grid.select(
-        F.col("t").alias("cluster"), "size", F.col("p").alias("stratum"), share.alias("share"),
-        (share / F.col("pop_share")).alias("ratio"),
+    sizes = cells.groupBy("t").agg(F.sum("n").cast("double").alias("size"))
+    strata = cells.groupBy("p").agg(F.sum("n").cast("double").alias("pop"))
+    # strata are few by construction (quantile bins or levels of an attribute); they travel as one array
+    every = strata.agg(F.collect_list(F.struct("p", "pop"))).scalar()
+    grid = sizes.withColumn("_s", every).select("t", "size", F.inline("_s"), F.aggregate("_s.pop", F.lit(0.0), lambda x, y: x + y).alias("_all"))
+    share = F.coalesce(F.col("n").cast("double"), F.lit(0.0)) / F.col("size")
+    return grid.join(cells, ["t", "p"], "left").select(
+        F.col("t").alias("cluster"), F.col("size").cast("bigint").alias("size"), F.col("p").alias("stratum"), share.alias("share"),
+        (share / (F.col("pop") / F.col("_all"))).alias("ratio"),
     )
 
 

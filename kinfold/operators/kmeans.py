@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from ..functions.hashing import poisson_weights, u01
 from ..functions.vectors import batches_of, matrix, total_vectors, values
 from ..session import TooLarge, check_broadcast, is_kept, kept
-from .geometry import nearest_rows, rows_of
+from .geometry import nearest_rows, rows_of, width
 from .sampling import lowest_hash
 
-# Rows of the seeding pool; k-means++ runs on this bounded hashed sample only.
+# Rows of the seeding pool, a hashed sample on which k-means++ runs; it grows with the number of centres.
 SEED_POOL = 4096
+POOL_PER_CENTER = 64
 _TINY = float(np.finfo(float).tiny)
 
 
@@ -148,9 +149,10 @@ def lowest_rows(df: DataFrame, k: int, seed: int = 0, tag: str = "init") -> np.n
     return np.array([r["features"] for r in rows], dtype=float)
 
 
-def seeding_pool(df: DataFrame, seed: int = 0, n: int | None = None) -> np.ndarray:
+def seeding_pool(df: DataFrame, seed: int = 0, n: int | None = None, size: int = SEED_POOL) -> np.ndarray:
+    check_broadcast(size * width(df), "seeding pool")
     n = df.count() if n is None else n
-    pool = lowest_hash(df.select("row_id", "features"), {(): SEED_POOL}, tag="pool", seed=seed, sizes={(): n})
+    pool = lowest_hash(df.select("row_id", "features"), {(): size}, tag="pool", seed=seed, sizes={(): n})
     rows = pool.orderBy("row_id").toArrow()
     return rows.column("features").combine_chunks().flatten().to_numpy().astype(float).reshape(rows.num_rows, -1)
 
@@ -199,13 +201,16 @@ def fit_many(
 
 
 def _fit_many(df, wanted, n_init, full_starts, max_iter, tol, resamples) -> list[KMeansFit]:
-    pool = seeding_pool(df)
+    n, most = df.count(), max((k for k, _ in wanted), default=0)
+    if most > n:
+        raise ValueError(f"k={most} exceeds the {n} rows available")
+    pool = seeding_pool(df, n=n, size=max(SEED_POOL, POOL_PER_CENTER * most))
     runs, owner = {}, {}
     ready: dict[tuple[int, int], list] = {}
     for w, (k, seed) in enumerate(wanted):
         if (k, seed) not in ready:
             rng = np.random.default_rng(seed)
-            tried = [_settle(pool, plus_plus(pool, min(k, len(pool)), rng)) for _ in range(n_init)]
+            tried = [_settle(pool, plus_plus(pool, k, rng)) for _ in range(n_init)]
             ready[k, seed] = sorted(tried, key=lambda s: s[1])[: max(1, full_starts)]
         for centers, _ in ready[k, seed]:
             rate, wseed = resamples.get(w, (None, 0))
