@@ -61,6 +61,7 @@ class SurrogateTree:
         return out
 
     def conditions(self, leaf: Leaf) -> list[str]:
+        # fixed values: the text format of a rule's conditions
         return [f"{self.features[f]} {'<= ' if low else '>  '}{cut:.4f}" for f, low, cut in leaf.path]
 
 

@@ -88,7 +88,9 @@ def source_expectations(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    return files.file_manifest(spark, sf_dir, "local tables", pattern="*.parquet")
+    """Size and hash of every table's file; the time of listing is left out, as it differs each time."""
+    listed = files.file_manifest(spark, sf_dir, "local tables", pattern="*.parquet")
+    return listed.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "size_bytes", "sha256", "source")
 
 
 @query
@@ -369,7 +371,8 @@ def hopkins(spark, sf_dir):
 
 @query
 def hopkins_repeated(spark, sf_dir):
-    return rounded(tendency.repeated_hopkins(checkpoint(feat_vectors(spark, sf_dir)), repeats=3, sample_size=300))
+    out = rounded(tendency.repeated_hopkins(checkpoint(feat_vectors(spark, sf_dir)), repeats=3, sample_size=300))
+    return out.withColumn("hopkins_values", F.transform("hopkins_values", lambda v: F.round(v, 6)))
 
 
 @query
@@ -914,7 +917,8 @@ def registry_store(spark, sf_dir):
         )
     stored = registry.load_artifact(spark, root, card["entry_id"])
     notes = registry.list_models(spark, root).select("notes").first()["notes"]
-    return rounded(stored.select("cluster", "size", F.lit(notes).alias("notes")))
+    centre = [F.col("centroid")[i].alias(n) for i, n in enumerate(FEATURES)]
+    return rounded(stored.select("cluster", "size", *centre, F.lit(notes).alias("notes")))
 
 
 # --- streams -----------------------------------------------------------------------------------------

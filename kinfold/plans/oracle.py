@@ -167,6 +167,38 @@ add("hopkins", f"""WITH {SQL_FEAT}, box AS (SELECT {_box} FROM feat),
   u AS (SELECT min(list_distance(g, f)) AS d FROM fake, fv GROUP BY id),
   w AS (SELECT min(list_distance(a.f, b.f)) AS d FROM real a JOIN fv b ON a.row_id <> b.row_id GROUP BY a.row_id)
 SELECT {r("(SELECT sum(d*d*d*d) FROM u) / ((SELECT sum(d*d*d*d) FROM u) + (SELECT sum(d*d*d*d) FROM w))")} AS hopkins""")
+
+
+def _hopkins(src: str, seed: int, tag: str) -> str:
+    """CTEs ending in ``h{tag} (h)``: the statistic of ``src (row_id, f)`` with 300 probes."""
+    box = ", ".join(f"min(f[{i + 1}]) AS a{i}, max(f[{i + 1}]) AS b{i}" for i in range(4))
+    probe = ", ".join(f"a{i} + {sql_u01('id', f'probe{i}', seed)} * (b{i} - a{i})" for i in range(4))
+    return f"""box{tag} AS (SELECT {box}, CASE WHEN 300 < count(*) THEN 300 ELSE greatest(2, count(*) // 10) END AS m FROM {src}),
+  fake{tag} AS (SELECT id, [{probe}] AS g FROM (SELECT range AS id FROM range((SELECT m FROM box{tag}))), box{tag}),
+  real{tag} AS (SELECT row_id, f FROM (SELECT row_id, f, row_number() OVER (ORDER BY {sql_u01("row_id", "hopkins", seed)}, row_id) AS rn FROM {src})
+    WHERE rn <= (SELECT m FROM box{tag})),
+  u{tag} AS (SELECT min(list_distance(g, f)) AS d FROM fake{tag}, {src} GROUP BY id),
+  w{tag} AS (SELECT min(list_distance(a.f, b.f)) AS d FROM real{tag} a JOIN {src} b ON a.row_id <> b.row_id GROUP BY a.row_id),
+  h{tag} AS (SELECT (SELECT sum(pow(d, 4)) FROM u{tag}) / ((SELECT sum(pow(d, 4)) FROM u{tag}) + (SELECT sum(pow(d, 4)) FROM w{tag})) AS h)"""
+
+
+def _repeats(n: int) -> str:
+    return "all_h AS (" + union([f"SELECT {i} AS i, h FROM h{i}" for i in range(n)]) + ")"
+
+
+add("hopkins_repeated", f"""WITH {SQL_FEAT}, {", ".join(_hopkins("fv", i, str(i)) for i in range(3))}, {_repeats(3)}
+SELECT 3 AS repeats, {r("avg(h)")} AS mean, {r("stddev_pop(h)")} AS std, 0.6::DOUBLE AS threshold, avg(h) >= 0.6 AS passed,
+  list({r("h")} ORDER BY i) AS hopkins_values FROM all_h""")
+
+
+def _noise(seed: int) -> str:
+    cells = ", ".join(f"lo{i} + {sql_u01('id', f'null{i}', seed)} * (hi{i} - lo{i})" for i in range(4))
+    return f"noise{seed} AS MATERIALIZED (SELECT id AS row_id, [{cells}] AS f FROM (SELECT range AS id FROM range((SELECT n FROM span))), span)"
+
+
+_span = "span AS (SELECT count(*) AS n, " + ", ".join(f"min(f[{i + 1}]) AS lo{i}, max(f[{i + 1}]) AS hi{i}" for i in range(4)) + " FROM fv)"
+add("hopkins_null", f"""WITH {SQL_FEAT}, {_span}, {", ".join(_noise(i) + ", " + _hopkins(f"noise{i}", i, str(i)) for i in range(2))}, {_repeats(2)}
+SELECT CAST(i AS INTEGER) AS repeat, {r("h")} AS hopkins, {r("avg(h) OVER ()")} AS mean, {r("stddev_pop(h) OVER ()")} AS std FROM all_h""")
 add("density_grid", f"""WITH {SQL_FEAT}, b AS (SELECT min(log_amount) AS x0, max(log_amount) AS x1, min(time_sin) AS y0, max(time_sin) AS y1 FROM feat)
 SELECT CAST(least(floor((log_amount - x0) / (x1 - x0) * 60), 59) AS INTEGER) AS bin_x,
   CAST(least(floor((time_sin - y0) / (y1 - y0) * 60), 59) AS INTEGER) AS bin_y, count(*) AS n FROM feat, b GROUP BY 1, 2""")
@@ -194,6 +226,9 @@ def _lloyd(k: int, steps: int = STEPS, tag: str = "") -> tuple[str, str, str]:
 _c, _cen, _asg = _lloyd(4)
 add("kmeans_steps", f"WITH {SQL_FEAT}, {_c} SELECT j AS cluster, count(row_id) AS size, " + ", ".join(f"{r(f'any_value(c_{v})')} AS {v}" for v in FEATURES)
     + f" FROM {_cen} LEFT JOIN {_asg} USING (j) GROUP BY j")
+_rc, _rcen, _rasg = _lloyd(3, steps=2, tag="r")
+add("registry_store", f"WITH {SQL_FEAT}, {_rc} SELECT j AS cluster, count(row_id) AS size, " + ", ".join(f"{r(f'any_value(c_{v})')} AS {v}" for v in FEATURES)
+    + f", 'second' AS notes FROM {_rcen} LEFT JOIN {_rasg} USING (j) GROUP BY j")
 _sweep = [(_k, *_lloyd(_k, tag=f"k{_k}")) for _k in KS]
 _INERTIA = f"{SQL_FEAT}, " + ", ".join(s[1] for s in _sweep) + ", w AS (" + union([f"SELECT {s[0]} AS k, sum(d2) AS inertia FROM {s[3]}" for s in _sweep]) + ")"
 add("inertia_by_k", f"WITH {_INERTIA} SELECT k, {r('inertia', 3)} AS inertia, {r('ln(inertia)', 5)} AS log_inertia FROM w")

@@ -70,6 +70,13 @@ def test_silhouettes_of_nested_cuts_equal_those_of_each_cut(three):
     assert best == 3 == max(got, key=got.get)
 
 
+def test_more_centres_than_rows_are_refused(spark):
+    rows = frame(spark, np.arange(6.0).reshape(3, 2))
+    with pytest.raises(ValueError, match="exceeds"):
+        kmeans.fit_kmeans(rows, 5)
+    assert sorted(kmeans.fit_kmeans(rows, 3).sizes.tolist()) == [1, 1, 1]
+
+
 def test_average_linkage_is_most_faithful(three):
     rows = {r["linkage"]: r for r in linkage.compare_linkages(three, 3).collect()}
     assert max(rows, key=lambda m: rows[m]["cophenetic_corr"]) == "average"

@@ -69,6 +69,12 @@ def test_internal_scores_on_blobs_and_guard(spark):
             internal_scores.score_internal(m, df.withColumn("cluster", F.lit(1)))
     with pytest.raises(KeyError):
         internal_scores.score_internal("nope", df)
+    with pytest.raises(TypeError):
+        internal_scores.score_internal("dunn", df, diameter_kap=5)
+    counted = contingency.contingency(df.withColumn("t", F.col("cluster")), "t", "cluster")
+    assert internal_scores.score_external(["ari", "ami"], counted) == {"ari": pytest.approx(1.0), "ami": pytest.approx(1.0)}
+    with pytest.raises(KeyError):
+        internal_scores.score_external(["silhouette"], counted)
     noisy = df.withColumn("cluster", F.when(F.col("row_id") < 5, -1).otherwise(F.col("cluster")))
     assert internal_scores.silhouette_rows(noisy).count() == 295
 
