@@ -370,6 +370,24 @@ def test_html(spark, sf):
         assert (r.text, r.n_chars) == (want, len(want))
 
 
+def extracted(spark, sources, host="h"):
+    rows = [(i, f"http://{host}/{i}", x) for i, x in enumerate(sources)]
+    out = html_wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+def test_constant_lines_of_a_host_are_left_out(spark):
+    long = "Same start of a sentence that goes on for longer than eighty characters before it says anything new: "
+    page = "<body><div class=topbar>Welcome to us</div><article><p>We use cookies</p><p>{}</p><p>Told on page {}</p></article></body>"
+    sources = [page.format(long + str(i), i) for i in range(8)]
+    assert extracted(spark, sources) == [f"{long}{i}\nTold on page {i}" for i in range(8)]
+    # Copies of one page are no evidence, few pages neither, and near copies stay whole.
+    assert extracted(spark, sources[:1] * 9)[3] == f"We use cookies\n{long}0\nTold on page 0"
+    assert extracted(spark, sources[:4])[3] == f"We use cookies\n{long}3\nTold on page 3"
+    near = [f"<article><p>{long * 3}</p><p>at {i}</p></article>" for i in range(9)]
+    assert extracted(spark, near) == [f"{(long * 3).strip()}\nat {i}" for i in range(9)]
+
+
 def test_wrapper_is_a_union_free_expression(spark):
     a = html_wrappers.infer(html_wrappers.parse("<ul><li>a</li><li>b</li></ul><p>x</p>"))
     b = html_wrappers.infer(html_wrappers.parse("<ul><li>c</li></ul><hr><p>y</p>"))
