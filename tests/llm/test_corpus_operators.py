@@ -388,6 +388,18 @@ def test_constant_lines_of_a_host_are_left_out(spark):
     assert extracted(spark, near) == [f"{(long * 3).strip()}\nat {i}" for i in range(9)]
 
 
+def test_named_elements_go_on_evidence_only(spark):
+    article = "<article><h1>T{0}</h1><p>Body of page {0}</p></article>"
+    for around in ("<div class='has-sidebar'>{}</div>", "<div id='no-header'>{}</div>", "<form action=/x><div>{}</div></form>", "<div class=sidebar>{}</div>"):
+        assert html_wrappers.extract_one(around.format(article.format(1))) == "T1\nBody of page 1"
+        assert html_wrappers.extract_one(around.format("<div><h1>T</h1><p>Only here</p></div>") + "<p>End</p>") == "T\nOnly here\nEnd"
+    for name in ("related-work", "share-price", "notice", "comment", "menu"):
+        inner = f"<article><p>Some text that is longer than the other one</p><p class='{name}'>Rose by 3</p><div id='{name}'><p>More</p></div></article>"
+        assert html_wrappers.extract_one(inner) == "Some text that is longer than the other one\nRose by 3\nMore"
+    links = "<article><p>Text of page {0}, which is read</p><div class=related>" + "<p><a href=/{0}>see page {0}</a></p>" * 4 + "</div></article>"
+    assert extracted(spark, [links.format(i) for i in range(3)]) == [f"Text of page {i}, which is read" for i in range(3)]
+
+
 def test_wrapper_is_a_union_free_expression(spark):
     a = html_wrappers.infer(html_wrappers.parse("<ul><li>a</li><li>b</li></ul><p>x</p>"))
     b = html_wrappers.infer(html_wrappers.parse("<ul><li>c</li></ul><hr><p>y</p>"))
