@@ -400,6 +400,12 @@ def test_named_elements_go_on_evidence_only(spark):
     assert extracted(spark, [links.format(i) for i in range(3)]) == [f"Text of page {i}, which is read" for i in range(3)]
 
 
+def test_pages_without_articles_keep_all_siblings(spark):
+    story = "<body><nav><a href=/>x</a></nav><h1>T{0}</h1><div class=story><p>Para {0}</p><blockquote>Quote {0} {1}</blockquote></div><div>Part two {0}</div></body>"
+    long = "that is far longer than all the rest " * 5
+    assert extracted(spark, [story.format(i, long) for i in range(6)]) == [f"T{i}\nPara {i}\nQuote {i} {long.strip()}\nPart two {i}" for i in range(6)]
+
+
 def test_wrapper_is_a_union_free_expression(spark):
     a = html_wrappers.infer(html_wrappers.parse("<ul><li>a</li><li>b</li></ul><p>x</p>"))
     b = html_wrappers.infer(html_wrappers.parse("<ul><li>c</li></ul><hr><p>y</p>"))
