@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, text_of
 
-# Fixed texts: notices as licences word them.
+# Fixed texts: lines and notices as licences word them, and whole licences (-text).
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0": (
@@ -61,6 +62,60 @@ TEMPLATES = {
     ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+_GNU = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License {2}"
+    "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1}General Public License for more details."
+)
+_LATER = "as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version. "
+_ONLY = "version {} as published by the Free Software Foundation. "
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. {}"
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT '
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+    "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+TEMPLATES |= {
+    "BSD-2-Clause": _BSD.format(""),
+    "BSD-3-Clause": _BSD.format(
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission. "
+    ),
+    "GPL-1.0": _GNU.format("program", "", _LATER.format("1")),
+    "GPL-2.0": _GNU.format("program", "", _LATER.format("2")),
+    "GPL-2.0-only": _GNU.format("program", "", _ONLY.format("2")),
+    "GPL-3.0-only": _GNU.format("program", "", _ONLY.format("3")),
+    "LGPL-2.0": _GNU.format("library", "Library ", _LATER.format("2")),
+    "LGPL-2.1": _GNU.format("library", "Lesser ", _LATER.format("2.1")),
+    "LGPL-2.1-only": _GNU.format("library", "Lesser ", _ONLY.format("2.1")),
+    "LGPL-3.0": _GNU.format("library", "Lesser ", _LATER.format("3")),
+    "LGPL-3.0-program": _GNU.format("program", "Lesser ", _LATER.format("3")),
+    "AGPL-3.0": _GNU.format("program", "Affero ", _LATER.format("3")),
+    "AGPL-3.0-only": _GNU.format("program", "Affero ", _ONLY.format("3")),
+    "ISC-text": TEMPLATES["ISC"] + (
+        ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "MIT-text": TEMPLATES["MIT"] + (
+        ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES '
+        "OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+}
+# Whole licences, as they are published.
+TEMPLATES |= {
+    f"{name}-text": pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()
+    for name in ("AGPL-3.0", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+}
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
 
@@ -113,12 +168,14 @@ class Library:
                 out.append((name, 2 * common / (n + size)))
         return out
 
-    def windows(self, words: list[str]) -> list[tuple[str, float, int]]:
-        """Best coefficient of each template over all stretches of its own number of bigrams, by sliding counts."""
+    def windows(self, words: list[str]) -> list[tuple[str, float, int, int]]:
+        """Best coefficient of each template over all stretches of its own number of bigrams, by sliding counts; where it starts, its bigrams."""
         pairs = list(zip(words, words[1:]))
         hits = [i for i, g in enumerate(pairs) if g in self.known]
         out = []
         for size, name, c in self.items if hits else []:
+            if len(hits) < self.threshold * size:
+                break  # the others are larger
             mine = [i for i in hits if pairs[i] in c]
             if len(mine) < self.threshold * size:
                 continue
@@ -134,41 +191,55 @@ class Library:
                     best, at = common, max(0, i - size + 1)
             dice = 2 * best / (size + min(size, len(pairs)))
             if dice >= self.threshold:
-                out.append((name, dice, at))
+                out.append((name, dice, at, min(size, len(pairs))))
         return out
 
 
-def text_matches(text: str, library: Library) -> list[tuple[str, float, str]]:
-    """Every template found in a text with its best coefficient, and the kind of unit that gave it.
+def text_matches(text: str, library: Library) -> list[tuple[str, float, str, int, int]]:
+    """Every template found in a text with its best coefficient, the kind of unit that gave it, its start and bigrams.
 
     Units are the whole text, each of its lines, and every stretch of as many bigrams as a template has.
     """
-    best: dict[str, tuple[float, str]] = {}
+    best: dict[str, tuple[float, str, int, int]] = {}
 
-    def note(name: str, dice: float, unit: str) -> None:
+    def note(name: str, dice: float, unit: str, at: int, n: int) -> None:
         if name not in best or dice > best[name][0]:
-            best[name] = (dice, unit)
+            best[name] = (dice, unit, at, n)
 
     words: list[str] = []
     lines = text.split("\n")
     for line in lines:
         w = words_of(line)
-        words += w
         if len(lines) > 1:
             for name, dice in library.matches(w):
-                note(name, dice, "line")
+                note(name, dice, "line", len(words), len(w) - 1)
+        words += w
     for name, dice in library.matches(words):
-        note(name, dice, "text")
-    for name, dice, _ in library.windows(words):
-        note(name, dice, "stretch")
-    return sorted((name, dice, unit) for name, (dice, unit) in best.items())
+        note(name, dice, "text", 0, len(words) - 1)
+    for name, dice, at, n in library.windows(words):
+        note(name, dice, "stretch", at, n)
+    return sorted((name, *found) for name, found in best.items())
+
+
+def winners(matches: list[tuple[str, float, str, int, int]], size: Mapping[str, int]) -> list[tuple[str, float]]:
+    """Of matches that share half of the shorter one's stretch, the best: by coefficient, longer template, name."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for name, dice, _, at, n in sorted(matches, key=lambda x: (-x[1], -size[x[0]], x[0])):
+        if all(2 * (min(at + n, b) - max(at, a)) < min(n, b - a) for a, b in taken):
+            taken.append((at, at + n))
+            out.append((name, dice))
+    return sorted(out)
 
 
 def scan(
     docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = 0.8,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: ``id, n_licenses, best_license, best_dice, licenses`` (all, as ``name:dice``).
+    """One row per document: ``id, n_licenses, best_license, best_dice, licenses, winners`` (as ``name:dice``).
+
+    ``licenses`` has all templates that match and ``n_licenses`` their number; ``winners`` has the best of those that match
+    the same stretch, so one for each licence that the text holds.
 
     Dice is twice the common word bigrams (with repeats) over the sum of both numbers. The template set
     is a fixed, small parameter and is held by every task; size bounds rule out templates that a unit
@@ -179,16 +250,17 @@ def scan(
     bounded_batches(docs.sparkSession)
     size = {name: len(words_of(t)) for name, t in templates.items()}
 
-    @F.pandas_udf("n_licenses long, best_license string, best_dice double, licenses string")
+    @F.pandas_udf("n_licenses long, best_license string, best_dice double, licenses string, winners string")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         library = Library(templates, threshold)
         for texts in batches:
             out = []
             for text in texts:
                 m = text_matches(text, library)
-                top = min(m, key=lambda x: (-x[1], -size[x[0]], x[0])) if m else (None, None, None)
-                out.append((len(m), top[0], top[1], ",".join(f"{n}:{d:.4f}" for n, d, _ in m)))
-            yield pd.DataFrame(out, columns=["n_licenses", "best_license", "best_dice", "licenses"])
+                top = min(m, key=lambda x: (-x[1], -size[x[0]], x[0])) if m else (None, None)
+                won = ",".join(f"{n}:{d:.4f}" for n, d in winners(m, size))
+                out.append((len(m), top[0], top[1], ",".join(f"{n}:{d:.4f}" for n, d, *_ in m), won))
+            yield pd.DataFrame(out, columns=["n_licenses", "best_license", "best_dice", "licenses", "winners"])
 
     rows = docs.select(F.col(id_col), found(text_of(text_col)).alias("f"))
-    return rows.select(id_col, "f.n_licenses", "f.best_license", "f.best_dice", "f.licenses")
+    return rows.select(id_col, "f.n_licenses", "f.best_license", "f.best_dice", "f.licenses", "f.winners")

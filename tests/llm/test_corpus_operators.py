@@ -524,6 +524,57 @@ def test_licenses(spark, documents):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+REGENTS = """Copyright (c) The Regents of the University of California.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED.  IN NO EVENT SHALL THE REGENTS OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS
+OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE.
+"""
+
+
+def test_licenses_by_texts_of_others(spark):
+    start = "/* foo.c - does things.\n * This {} is free software{} you can redistribute it and/or modify\n * it under the terms of the GNU {}General Public License as published by\n"
+    rest = (
+        " * the Free Software Foundation{0} either version {1} of the License, or\n * (at your option) any later version.\n *\n * This {2} is distributed in the"
+        " hope that it will be useful,\n * but WITHOUT ANY WARRANTY; without even the implied warranty of\n * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n"
+        " * GNU {3}General Public License for more details.\n */\nint main() { return 0; }"
+    )
+    cases = {
+        "GPL-2.0": ("program", ";", "", "2"), "GPL-3.0": ("program", ":", "", "3"), "AGPL-3.0": ("program", ":", "Affero ", "3"),
+        "LGPL-2.1": ("library", ";", "Lesser ", "2.1"), "LGPL-3.0": ("library", ";", "Lesser ", "3"),
+    }
+    rows = [(k, start.format(a, b, c) + rest.replace("{ return 0; }", "").format(b, v, a, c), "s") for k, (a, b, c, v) in cases.items()]
+    rows.append(("BSD-3-Clause", "Copyright (c) 2001 Someone\n" + REGENTS, "s"))
+    rows.append(("BSD-2-Clause", re.sub(r"(?s)3\. Neither.*?permission\.", "", REGENTS), "s"))
+    got = {r[0]: license_scan.scan(spark.createDataFrame([r], "doc_id string, text string, source string")).first() for r in rows}
+    for name, r in got.items():
+        assert (r.best_license, r.winners) == (name, f"{name}:{r.best_dice:.4f}")
+    both = rows[0][1] + " and\n" + " ".join(f"w{i}" for i in range(50)) + REGENTS
+    two = license_scan.scan(spark.createDataFrame([("x", both, "s")], "doc_id string, text string, source string")).first()
+    assert [w.split(":")[0] for w in two.winners.split(",")] == ["BSD-3-Clause", "GPL-2.0"]
+
+
 # --- all queries and the pipeline ---
 
 
