@@ -485,6 +485,15 @@ def test_url_model_on_held_out_hosts():
         url_filter.UrlModel().fit([("h", "/", 1)] * (url_filter.MAX_LABELLED + 1))
 
 
+def test_labelled_urls_are_not_those_of_the_pages(spark, sf):
+    learned = {url_filter.site_of(h) for h, _, _ in url_filter.LABELLED}
+    given = {url_filter.site_of(r.host) for r in url_filter.judge(spark.read.parquet(f"{sf}/pages.parquet")).select("host").distinct().collect()}
+    assert given and learned.isdisjoint(given)
+    assert learned.isdisjoint(["cheap-pills", "casino-win", "free-bets", "adult-x", "spam-farm", "ads-track", "theron"])
+    threshold, missed, blocked = url_filter.chosen_threshold()
+    assert threshold == url_filter.THRESHOLD and missed < 0.3 and blocked < 0.1
+
+
 # --- licences ---
 
 
