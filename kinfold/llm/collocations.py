@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from ..session import checkpoint, scratch_path
 from .common import bounded_batches, text_of
 
-CHUNK_BYTES = 8 << 20  # text that is folded into partials at once
+CHUNK_BYTES = 16 << 20  # text that is folded into partials at once
 PART_BYTES = 4 << 20  # text per bucket of fingerprints, and per slot of documents
 LEAST_PARTS = 1024
 FILTER_BYTES = 32 << 20  # of the filter that travels to all tasks
@@ -86,19 +86,19 @@ class Words:
         keep = word.copy()
         keep[1:] |= (kind[1:] == 1) & word[:-1] & ~fresh[1:n]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        at = np.cumsum(keep, dtype=np.int64)[s] - 1 if len(s) else s
-        breaks = np.cumsum((kind == 2) | fresh[:n], dtype=np.int64)[s] if len(s) else s
-        doc = np.searchsorted(offsets, s, side="right") - 1
+        at = np.cumsum(keep, dtype=np.int32)[s] - np.int32(1)
+        breaks = np.cumsum((kind == 2) | fresh[:n], dtype=np.int32)[s]
+        doc = (np.searchsorted(offsets, s, side="right") - 1).astype(np.int32)
         joined = np.zeros(len(s), bool)
         joined[:-1] = breaks[1:] == breaks[:-1]
-        return cls(low[keep], at, at + e - s, doc, joined, seeds)
+        return cls(low[keep], at, at + (e - s).astype(np.int32), doc, joined, seeds)
 
     @classmethod
     def together(cls, parts: list[Words]) -> Words:
         if len(parts) == 1:
             return parts[0]
-        bytes_before = np.cumsum([0] + [len(p.text) for p in parts])
-        docs_before = np.cumsum([0] + [len(p.seeds) for p in parts])
+        bytes_before = np.cumsum([0] + [len(p.text) for p in parts], dtype=np.int32)
+        docs_before = np.cumsum([0] + [len(p.seeds) for p in parts], dtype=np.int32)
         return cls(
             np.concatenate([p.text for p in parts]),
             np.concatenate([p.start + b for p, b in zip(parts, bytes_before)]),
@@ -120,7 +120,7 @@ class Words:
         s, e = self.start[at], self.end[at + n - 1]
         done = 0
         while done < len(at):
-            base = s[done]
+            base = int(s[done])
             stop = max(done + 1, int(np.searchsorted(s, base + SLICE - (1 << 12))))
             m = int(e[done:stop].max() - base)
             up, down = (_UP, _DOWN) if m <= SLICE else (_powers(BASE, m), _powers(pow(BASE, -1, 1 << 64), m))
@@ -155,7 +155,7 @@ class Words:
 
     def phrases(self, at: np.ndarray, n: np.ndarray) -> pa.Array:
         """The texts of runs, as an Arrow string array."""
-        s = self.start[at]
+        s = self.start[at].astype(np.int64)
         size = self.end[at + n - 1] - s
         ends = np.cumsum(size)
         from_ = np.arange(ends[-1] if len(ends) else 0) + np.repeat(s - ends + size, size)
@@ -543,11 +543,16 @@ def mine(
         F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a"))
     )
     left = checkpoint(left.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score")))
-    # first the best of many small parts, then of what they leave
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salts = 1 + left.count() // 50_000
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(salts)))
-    best = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("rank") <= top)
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    # the best of many small groups, then of eight of those together, and so on: no group is larger than eight lists
+    order, ranked = [F.desc("score"), F.desc("a"), F.asc("phrase")], left
+    groups = 1
+    found = left.count()
+    while groups * 8 * top < found:
+        groups *= 8
+    while groups >= 1:
+        salted = ranked.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(groups)))
+        w = Window.partitionBy("lang", "_salt").orderBy(*order)
+        ranked = salted.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+        groups //= 8
     words = counts.where("n = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
