@@ -107,7 +107,8 @@ def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = np.stack(part["vec"].to_list()).astype(np.float64)
             total[d] = total.get(d, 0) + x.sum(axis=0)
             count[d] = count.get(d, 0) + len(x)
-    yield pd.DataFrame({"dim": list(total), "n": [count[d] for d in total], "total": [total[d].tolist() for d in total]}).astype({"dim": "int32", "n": "int64"})
+    if total:
+        yield pd.DataFrame({"dim": list(total), "n": [count[d] for d in total], "total": [total[d].tolist() for d in total]})
 
 
 def _center(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
