@@ -14,11 +14,13 @@ others pass and never holds one back; its size is bounded, so very large tables
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,12 +28,13 @@ from pyspark.sql.window import Window
 from ..session import checkpoint, scratch_path
 from .common import bounded_batches, text_of
 
-CHUNK_BYTES = 16 << 20  # text that is folded into partials at once
+CHUNK_BYTES = 8 << 20  # text that is folded into partials at once
 PART_BYTES = 4 << 20  # text per bucket of fingerprints, and per slot of documents
 LEAST_PARTS = 1024
 FILTER_BYTES = 32 << 20  # of the filter that travels to all tasks
 FILTER_SHARE = 16  # bits per frequent fingerprint, until that bound
 POINTERS = 1 << 20  # pointers that a task gathers before it passes them on
+PHRASES = 1 << 19  # phrases that a task gathers before it folds or passes them on
 SLICE = 1 << 20  # bytes that share one prefix polynomial
 BASE = 0x9E3779B97F4A7C15
 UNDEFINED = "und"
@@ -368,6 +371,63 @@ def _meet(batches: Iterator[pa.RecordBatch], n: int, min_count: int, buckets: in
 
 _FOUND = "lang string, n int, phrase string, f long"
 _FOUND_ARROW = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.large_string()), ("f", pa.int64())])
+_KEYS = ["part", "lang", "n", "phrase"]
+
+
+def _folded(tables: list[pa.Table], keys: list[str]) -> pa.Table:
+    """One row per phrase, its counts added up."""
+    return pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("f", "sum")]).rename_columns([*keys, "f"])
+
+
+def _pack_phrases(t: pa.Table) -> Iterator[tuple[int, str, int, bytes]]:
+    """A row per bucket: numbers of rows and bytes of languages, then languages, counts, lengths and texts."""
+    t = t.take(pa.compute.sort_indices(t, [("part", "ascending"), ("phrase", "ascending")])).combine_chunks()
+    lang = t.column("lang").combine_chunks().dictionary_encode() if t.num_rows else None
+    names = json.dumps(lang.dictionary.to_pylist() if lang is not None else []).encode()
+    parts = t.column("part").to_numpy()
+    text, offsets = _bytes_of(t.column("phrase").combine_chunks())
+    code, n, f = lang.indices.to_numpy().astype("<u4"), t.column("n").to_numpy().astype("<u1"), t.column("f").to_numpy().astype("<u8")
+    lengths = np.diff(offsets).astype("<u4")
+    for p in np.unique(parts):
+        i, j = np.searchsorted(parts, [p, p + 1])
+        planes = b"".join(c[i:j].view(np.uint8).reshape(j - i, -1).T.tobytes() for c in (code, n, f, lengths))
+        body = np.array([j - i, len(names)], "<u4").tobytes() + names + planes + text[offsets[i] : offsets[j]].tobytes()
+        yield int(p), "f", len(body), pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _unpack_phrases(body: bytes, size: int) -> pa.Table:
+    raw = pa.decompress(body, decompressed_size=size, codec="zstd", asbytes=True)
+    rows, named = np.frombuffer(raw[:8], "<u4").tolist()
+    names, at, columns = json.loads(raw[8 : 8 + named]), 8 + named, []
+    for kind in ("<u4", "<u1", "<u8", "<u4"):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, rows * width, at).reshape(width, rows)
+        columns.append(np.ascontiguousarray(planes.T).view(kind).reshape(-1))
+        at += rows * width
+    code, n, f, lengths = columns
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    phrase = pa.Array.from_buffers(pa.large_string(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(raw[at:])])
+    lang = pa.array(names, pa.string()).take(pa.array(code.astype(np.int64)))
+    return pa.table({"lang": lang, "n": pa.array(n.astype(np.int32)), "phrase": phrase, "f": pa.array(f.astype(np.int64))})
+
+
+def _count(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by bucket: phrases that reach the minimum, and the words of each language."""
+    part, held = None, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if held:
+            t = _folded(held, ["lang", "n", "phrase"])
+            t = t.filter(pa.compute.or_(pa.compute.greater_equal(t["f"], min_count), pa.compute.equal(t["n"], 0)))
+            yield from t.select(_FOUND_ARROW.names).cast(_FOUND_ARROW).to_batches()
+
+    for batch in batches:
+        for p, size, body in zip(batch.column("part").to_pylist(), batch.column("size").to_pylist(), batch.column("body").to_pylist()):
+            if p != part:
+                yield from close()
+                part, held = p, []
+            held.append(_unpack_phrases(body, size))
+    yield from close()
 
 
 class _Slot:
@@ -384,7 +444,7 @@ class _Slot:
         )
         self.open = np.ones(len(order), bool)
 
-    def resolve(self, words: Words, keys: np.ndarray, langs: list[str], bits: int) -> Iterator[pa.RecordBatch]:
+    def resolve(self, words: Words, keys: np.ndarray, langs: list[str], buckets: int, bits: int) -> pa.Table | None:
         a, b = np.searchsorted(self.key, keys, side="left"), np.searchsorted(self.key, keys, side="right")
         doc = np.repeat(np.arange(len(keys)), b - a)
         at = np.arange(len(doc)) + np.repeat(a - np.cumsum(b - a) + (b - a), b - a)
@@ -394,30 +454,34 @@ class _Slot:
         word, n = starts[doc] + self.word[at], self.n[at].astype(np.int64)
         fit = word + n <= starts[doc + 1]
         doc, at, word, n = doc[fit], at[fit], word[fit], n[fit]
-        fit = np.zeros(len(at), bool)
+        fp = np.zeros(len(at), np.uint64)
         for length in np.unique(n):
             mine = np.flatnonzero(n == length)
             mine = mine[np.argsort(word[mine], kind="stable")]
-            fp = words.fingerprints(word[mine], int(length), bits)
-            fit[mine] = (fp >> np.uint64(40)).astype("<u2") == self.check[at[mine]]
-        doc, at, word, n = doc[fit], at[fit], word[fit], n[fit]
+            fp[mine] = words.fingerprints(word[mine], int(length), bits)
+        fit = (fp >> np.uint64(40)).astype("<u2") == self.check[at]
+        doc, at, word, n, fp = doc[fit], at[fit], word[fit], n[fit], fp[fit]
         _, once = np.unique(at, return_index=True)  # rows that repeat a document resolve its pointers once
-        doc, at, word, n = doc[once], at[once], word[once], n[once]
+        doc, at, word, n, fp = doc[once], at[once], word[once], n[once], fp[once]
         self.open[at] = False
-        if len(at):
-            names = pa.array(langs, pa.string()).take(pa.array(doc))
-            yield pa.RecordBatch.from_arrays(
-                [names, pa.array(n.astype(np.int32)), words.phrases(word, n), pa.array(self.count[at].astype(np.int64))], schema=_FOUND_ARROW
-            )
+        if not len(at):
+            return None
+        part = (fp >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int32)
+        return pa.table({
+            "part": pa.array(part), "lang": pa.array(langs, pa.string()).take(pa.array(doc)), "n": pa.array(n.astype(np.int32)),
+            "phrase": words.phrases(word, n), "f": pa.array(self.count[at].astype(np.int64)),
+        })
 
     def close(self) -> None:
         if self.open.any():
             raise RuntimeError(f"{int(self.open.sum())} occurrences have lost their documents; did the table change?")
 
 
-def _materialise(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by slot, pointers before documents. Returns phrases, and words per document as length 0."""
+def _materialise(batches: Iterator[pa.RecordBatch], buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by slot, pointers before documents. Returns phrases, and words per language as length 0."""
     current, bodies, slot = None, [], None
+    held: list[pa.Table] = []
+    total: dict[str, int] = {}
     for batch in batches:
         parts, kinds = batch.column("part").to_numpy(), batch.column("kind").to_pylist()
         cuts = [0, *(np.flatnonzero((parts[1:] != parts[:-1]) | (np.array(kinds[1:]) != np.array(kinds[:-1]))) + 1), len(parts)]
@@ -425,10 +489,8 @@ def _materialise(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
             if a == b:
                 continue
             if parts[a] != current:
-                if slot is not None:
-                    slot.close()
-                elif bodies:
-                    _Slot(bodies).close()
+                if bodies or slot is not None:
+                    (slot or _Slot(bodies)).close()
                 current, bodies, slot = parts[a], [], None
             rows = batch.slice(a, b - a)
             if kinds[a] == "p":
@@ -436,18 +498,24 @@ def _materialise(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
                 continue
             slot = slot or _Slot(bodies)
             words, langs = _words_of(rows), rows.column("lang").to_pylist()
-            yield from slot.resolve(words, rows.column("key").to_numpy().view(np.uint64), langs, bits)
-            total: dict[str, int] = {}
+            found = slot.resolve(words, rows.column("key").to_numpy().view(np.uint64), langs, buckets, bits)
+            if found is not None:
+                held.append(found)
             for lang, count in zip(langs, np.bincount(words.doc, minlength=len(langs))):
                 total[lang] = total.get(lang, 0) + int(count)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.string()), pa.array([0] * len(total), pa.int32()),
-                 pa.nulls(len(total), pa.large_string()), pa.array(list(total.values()), pa.int64())], schema=_FOUND_ARROW,
-            )
-    if slot is not None:
-        slot.close()
-    elif bodies:
-        _Slot(bodies).close()
+        if sum(t.num_rows for t in held) >= 2 * PHRASES:
+            held = [_folded(held, _KEYS)]
+            if held[0].num_rows >= PHRASES:
+                yield _batch(list(_pack_phrases(held[0])))
+                held = []
+    if bodies or slot is not None:
+        (slot or _Slot(bodies)).close()
+    if total:
+        held.append(pa.table({
+            "part": pa.array([0] * len(total), pa.int32()), "lang": pa.array(list(total), pa.string()), "n": pa.array([0] * len(total), pa.int32()),
+            "phrase": pa.array([""] * len(total), pa.large_string()), "f": pa.array(list(total.values()), pa.int64()),
+        }))
+        yield _batch(list(_pack_phrases(_folded(held, _KEYS))))
 
 
 def phrase_counts(
@@ -494,8 +562,9 @@ def phrase_counts(
     )
     counts = (
         pointers.unionByName(texts).repartition("part").sortWithinPartitions("part", "kind")
-        .mapInArrow(lambda it: _materialise(it, bits), _FOUND)
-        .groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= min_count) | (F.col("n") == 0))
+        .mapInArrow(lambda it: _materialise(it, parts, bits), _PACKED)
+        .repartition("part").sortWithinPartitions("part")
+        .mapInArrow(lambda it: _count(it, min_count), _FOUND)
     )
     path = scratch_path(spark, "phrase-counts")
     counts.write.parquet(path)
