@@ -124,6 +124,20 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def outside(candidates: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Candidates that no span holds whole, in one walk: both lists are sorted by their starts.
+
+    Of the spans that start at or before a candidate, the one that reaches farthest decides.
+    """
+    out, at, reach = [], 0, -1
+    for a, b in candidates:
+        while at < len(spans) and spans[at][0] <= a:
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach < b:
+            out.append((a, b))
+    return out
+
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
@@ -139,11 +153,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             spans = base_spans(text, found)
             base.append(joined(spans))
             n.append([sum(k == kind for _, k, _ in spans) for kind in range(3)])
-            more = []
-            for a, b in found:
-                if not any(s <= a and b <= e for s, _, e in spans):
-                    more.append((a, b, *battery(text[a:b])))
-            tokens.append(more)
+            tokens.append([(a, b, *battery(text[a:b])) for a, b in outside(found, spans)])
         out = pd.DataFrame({"id": rows["id"], "base": base, "n": n, "tokens": tokens})
         out["counts"] = [seen[_CODES].tolist(), *[None] * (len(rows) - 1)] if len(rows) else []
         yield out
@@ -190,7 +200,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settin
     Only the character counts and the histogram of p-values (both of fixed size) reach the driver.
 
     Null text is empty text, without spans (the hash is that of the empty string). Rows that repeat an
-    id or a text are each returned, and count each in the statistics. An empty table gives no rows.
+    id or a text are each returned, and count each in the statistics. Work grows with a text's length, however many
+    tokens it holds. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
