@@ -34,16 +34,25 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, A_Z, A_Z.lower()))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``df`` whose id is not in ``ids`` (one column ``_drop_id``); rows without an id stay.
+    """Rows of ``df`` whose id is not in the only column of ``ids``; rows without an id stay.
 
     A short list is broadcast after its length is checked; a longer one is shuffled and joined.
     """
     n = ids.count()
     if n == 0:
         return df
-    side = ids
+    drop = free_name(df, "_drop_id")
+    side = ids.toDF(drop)
     if n <= BROADCAST_IDS:
         check_broadcast(n, "ids to drop")
-        side = F.broadcast(ids)
-    return df.join(side, F.col(id_col) == F.col("_drop_id"), "left_anti")
+        side = F.broadcast(side)
+    return df.join(side, F.col(f"`{id_col}`") == F.col(drop), "left_anti")

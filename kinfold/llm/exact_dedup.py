@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import checkpoint
-from .common import ascii_lower, text_of, without
+from .common import ascii_lower, free_name, text_of, without
 
 
 def content_hash(text: Column) -> Column:
@@ -79,17 +79,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal texts one stays, with the smallest text by bytes; rows without an id are treated alike.
     """
     marks = checkpoint(mark(docs, id_col, text_col, keep))
-    counts = docs.groupBy(F.col(id_col).alias("_rid")).count()
-    repeated = checkpoint(counts.where("count > 1 OR _rid IS NULL").select("_rid"))
+    rid, own = free_name(docs, "_rid"), F.col(f"`{id_col}`")
+    counts = docs.groupBy(own.alias(rid)).count()
+    repeated = checkpoint(counts.where((F.col("count") > 1) | F.col(rid).isNull()).select(rid))
     if repeated.isEmpty():
-        dropped = marks.where(~F.col("kept")).select(F.col(id_col).alias("_drop_id"))
-        return without(docs, dropped, id_col)
-    is_repeated = F.col(id_col).eqNullSafe(F.col("_rid"))
+        return without(docs, marks.where(~F.col("kept")).select(own), id_col)
+    is_repeated = own.eqNullSafe(F.col(rid))
     plain = docs.join(repeated, is_repeated, "left_anti")
-    dropped = marks.where(~F.col("kept")).select(F.col(id_col).alias("_drop_id")).join(
-        repeated, F.col("_drop_id").eqNullSafe(F.col("_rid")), "left_anti"
-    )
-    stays = marks.where("kept").select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
+    dropped = marks.where(~F.col("kept")).select(own.alias("_drop")).join(repeated, F.col("_drop").eqNullSafe(F.col(rid)), "left_anti")
+    stays = marks.where("kept").select(own.alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
     sha = F.sha2(F.encode(ascii_lower(text_of(text_col)), "utf-8"), 256)
     rows = docs.join(repeated, is_repeated, "left_semi")
     one = (

@@ -75,29 +75,29 @@ def mix(
     The rates travel as a broadcast only while there are at most BROADCAST_SOURCES sources; beyond it
     they are joined on source and salt, so that a hot source is spread. Null source is a source of its
     own, null or empty text has size 1, a null id draws as the empty string, rows that repeat an id
-    draw the same number. An empty table gives no rows. Columns named like the two new ones are replaced.
+    draw the same number. An empty table gives no rows. Columns named like the two new ones, in any case, are
+    replaced; others may have any name, as a row travels as one value.
     """
     if weights and any(not math.isfinite(w) or w < 0 for w in weights.values()):
         raise ValueError("target weights must be finite and not negative")
     rates = checkpoint(source_rates(docs, weights, alpha, size_ratio, source_col, text_col))
-    names = [c for c in docs.columns if c not in ("mix_copy", "mix_key")]
-    cols = [F.col(f"`{c}`") for c in names]
+    cols = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("mix_copy", "mix_key")]
     src = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("-"))
     rates = rates.select(
         F.coalesce(F.concat(F.lit("s"), F.col("_source")), F.lit("-")).alias("_source"), "_parts", "_cdf"
     )
-    rows = docs.select(*cols, src.alias("_src"))
+    rows = docs.select(F.struct(*cols).alias("_row"), src.alias("_src"), F.col(id_col).alias("_id"))
     n = rates.count()
     if n <= BROADCAST_SOURCES:
         check_broadcast(n * (TERMS + 4), "source rates")
         joined = rows.join(F.broadcast(rates), F.col("_src") == F.col("_source"))
     else:
         salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")
         joined = rows.withColumn("_s", salt).join(salted, (F.col("_src") == F.col("_source")) & (F.col("_s") == F.col("_salt")))
-    draw = lambda i: F.size(F.filter("_cdf", lambda c: c <= uniform(seed, F.col(id_col), i)))
+    draw = lambda i: F.size(F.filter("_cdf", lambda c: c <= uniform(seed, F.col("_id"), i)))
     copies = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda acc, i: acc + draw(i))
     drawn = joined.withColumn("_n", copies).where("_n > 0")
-    out = drawn.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("mix_copy"))
-    key = (uniform(seed + 1, F.col(id_col), F.col("mix_copy")) * float(1 << 52)).cast("long")
-    return out.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key")
+    out = drawn.select("_row", "_id", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("mix_copy"))
+    key = (uniform(seed + 1, F.col("_id"), F.col("mix_copy")) * float(1 << 52)).cast("long")
+    return out.select("_row.*", "mix_copy", key.alias("mix_key")).repartition("mix_key").sortWithinPartitions("mix_key")

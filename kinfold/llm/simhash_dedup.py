@@ -184,5 +184,5 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stay, one of each group (the smallest id), with all columns; rows without an id stay."""
     marks = near_duplicates(docs, id_col, text_col, **options)
-    dropped = checkpoint(marks.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_drop_id")).distinct())
+    dropped = checkpoint(marks.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct())
     return without(docs, dropped, id_col)

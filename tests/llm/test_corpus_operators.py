@@ -5,9 +5,11 @@ import html
 import json
 import math
 import re
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import Row
@@ -607,3 +609,64 @@ def test_pipeline_stages(spark, sf, tokenizer):
     want = sorted((i, *plain_digest(text[i], tokenizer)) for i, _, _ in plain_mix(rows))
     assert sorted(map(tuple, p.run(spark, sf).collect())) == want
     assert [n for n, _ in p.STAGES] == ["toxicity", "exact_dedup", "simhash_dedup", "mixing", "bpe"]
+
+
+# --- rows that used to end a job or to take too long ---
+
+
+def within(seconds, fn, *args):
+    start = time.monotonic()
+    out = fn(*args)
+    assert time.monotonic() - start < seconds
+    return out
+
+
+def test_html_of_any_depth_and_length(spark):
+    deep = "<div>" * 100_000 + "x" + "</div>" * 100_000
+    bold = "<p>a" + "<b>y" * 100_000 + "</i>" * 50_000
+    assert within(60, html_wrappers.extract_one, deep) == "x"
+    assert within(60, html_wrappers.extract_one, bold) == "a" + "y" * 100_000
+    for odd in ("<a ", '<a "x" ', "<a \"x\" <b 'y' "):
+        page = odd * (5_000_000 // len(odd)) + '"'
+        assert within(60, html_wrappers.extract_one, page) == " ".join(page.split())
+    mixed = "".join(f"<{t}>{t}</{t}>" for t in "ibuem" * 4_000)
+    assert within(60, html_wrappers.extract_one, mixed) == "ibuem" * 4_000
+    assert extracted(spark, [deep, "<b>" * 1_500 + "z", "<p>" + "<b>y" * 1_500]) == ["x", "z", "y" * 1_500]
+
+
+def test_html_order_is_kept_beyond_the_depth():
+    inner = "<div>b1<p>b2</p>b3</div>"
+    page = "<div>" * 300 + f"a{inner}c" + "</div>d" * 300
+    assert html_wrappers.extract_one(page).split("\n")[:6] == ["a", "b1", "b2", "b3", "c", "d"]
+    assert html_wrappers.extract_one("<div>" * 300 + "a<select><option>no</option></select>b").replace("\n", "") == "ab"
+
+
+def test_html_lines_that_recur_in_articles_stay_and_threads_go(spark):
+    page = "<article><h1>T{i}</h1>{short}<p>Body of page {i}</p><ul><li>salt</li><li>2 eggs</li><li>item {i}</li></ul><div class=comments><p>Nice one, {i}!</p></div><div class='promo'>Buy {i}</div></article>"
+    sources = [page.format(i=i, short="<p>Short answer: yes.</p>" if i % 3 else "") for i in range(40)]
+    want = [f"T{i}\n" + ("Short answer: yes.\n" if i % 3 else "") + f"Body of page {i}\nsalt\n2 eggs\nitem {i}" for i in range(40)]
+    assert extracted(spark, sources) == want
+    plain = "<body><h1>T{0}</h1><div><p>Text of page {0}, long enough to be most of what is there</p></div><div id=comments>first! {0}</div></body>"
+    assert extracted(spark, [plain.format(i) for i in range(3)]) == [f"T{i}\nText of page {i}, long enough to be most of what is there" for i in range(3)]
+
+
+def test_secrets_of_a_text_with_many_tokens():
+    hashes = "\n".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(200_000))
+    (found,) = within(60, lambda: list(secrets._scan(iter([pd.DataFrame({"id": [1], "text": [hashes]})]))))
+    assert found["n"][0] == [0, 0, 200_000] and found["tokens"][0] == []
+    spans = [(5, 0, 40), (10, 1, 30), (60, 2, 90)]
+    assert secrets.outside([(0, 8), (10, 30), (35, 41), (50, 70), (60, 90)], spans) == [(0, 8), (35, 41), (50, 70)]
+
+
+def test_columns_of_any_name(spark):
+    names = ["doc_id", "text", "source", "_source", "_src", "_cdf", "_parts", "_drop_id", "_rid", "_row", "MIX_KEY", "_id", "_n", "count_", "component_id"]
+    rows = [(i, f"text number {i % 7} of many words", "ab"[i % 2], *[f"{n}{i}" for n in names[3:]]) for i in range(60)]
+    df = spark.createDataFrame(rows, names)
+    mixed = mixing.mix(df)
+    assert mixed.columns == [n for n in names if n != "MIX_KEY"] + ["mix_copy", "mix_key"]
+    assert all(r["_source"] == f"_source{r['doc_id']}" for r in mixed.collect())
+    assert sorted(r["doc_id"] for r in exact_dedup.deduplicate(df).collect()) == list(range(7))
+    twice = df.union(df.where("doc_id < 3"))
+    assert sorted(r["doc_id"] for r in exact_dedup.deduplicate(twice).collect()) == list(range(7))
+    assert sorted(r["doc_id"] for r in simhash_dedup.deduplicate(df).collect())[:1] == [0]
+    assert exact_dedup.deduplicate(df).columns == simhash_dedup.deduplicate(df).columns == names
