@@ -45,12 +45,16 @@ def pair_map(
     extra: list[str] | None = None,
     n: int | None = None,
     block_rows: int = BLOCK_ROWS,
+    by: str = "row_id",
 ) -> DataFrame:
-    """Run ``kernel(left, right, same)`` once for every unordered pair of blocks."""
+    """Run ``kernel(left, right, same)`` once for every unordered pair of blocks.
+
+    Rows with one value of ``by`` share a block, so blocks of another column than the id may be larger.
+    """
     n = df.count() if n is None else n
     blocks = max(1, math.ceil(n / block_rows))
     columns = ["row_id", "features", *(extra or [])]
-    mine = df.select(*columns, F.pmod(F.xxhash64("row_id"), F.lit(blocks)).cast("int").alias("_b"))
+    mine = df.select(*columns, F.pmod(F.xxhash64(by), F.lit(blocks)).cast("int").alias("_b"))
     meet = mine.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keyed = meet.select(*columns, "_b", F.least("_b", "_o").alias("_gi"), F.greatest("_b", "_o").alias("_gj"))
 

@@ -13,9 +13,9 @@ from .algorithms import fit_algorithm
 from .choose_k import replicate_agreement
 from .contingency import agreement
 from .kmeans import fit_many
-from .linkage import _chain, cut
 from .pairs import Block, pair_map
 from .sampling import simple_sample
+from .trees import chain, cut
 
 MAX_CONSENSUS = 4000
 
@@ -119,7 +119,7 @@ def consensus_labels(labels: DataFrame, k: int, *, threshold: float = 0.5, max_n
     co, drawn = _shared(m, m)
     together = np.where(drawn > 0, co / np.maximum(drawn, 1), 0.0) >= threshold
     np.fill_diagonal(together, True)
-    tree = _chain(1.0 - together.astype(float), np.ones(n), "average")
+    tree = chain(1.0 - together.astype(float), np.ones(n), "average")
     flat = _exact_k(tree, k)
     rows = [(int(r), int(c)) for r, c in zip(t.column("row_id").to_numpy(), flat)]
     return labels.sparkSession.createDataFrame(rows, "row_id bigint, cluster int")
