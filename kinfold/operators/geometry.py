@@ -32,6 +32,24 @@ def width(df: DataFrame, features: str = "features") -> int:
     return int(row["d"])
 
 
+class UnsoundRows(ValueError):
+    """Rows that no distance is defined for."""
+
+
+def count_rows(df: DataFrame, features: str = "features") -> int:
+    """The number of rows, once it is known that every vector is there, as long as the others, and holds numbers only."""
+    ok = F.forall(features, lambda v: v.isNotNull() & ~F.isnan(v))
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(features).isNull()).alias("absent"), F.count_if(~ok).alias("odd"),
+        F.min(F.size(features)).alias("short"), F.max(F.size(features)).alias("long"),
+    ).first()
+    if row["absent"] or row["odd"]:
+        raise UnsoundRows(f"{row['absent']} rows have no {features}, {row['odd']} hold null or NaN in them")
+    if row["short"] != row["long"]:
+        raise UnsoundRows(f"{features} have {row['short']} to {row['long']} values")
+    return row["n"]
+
+
 def rows_of(feats: pa.Array) -> np.ndarray:
     """(n, d) view of a list column handed to a vectorised function."""
     return feats.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(feats), -1)

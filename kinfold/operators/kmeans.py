@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poisson_weights, u01
-from ..functions.vectors import batches_of, matrix, total_vectors, values
+from ..functions.vectors import batches_of, list_array, matrix, total_vectors, values
 from ..session import TooLarge, check_broadcast, is_kept, kept
-from .geometry import nearest_rows, rows_of, width
-from .sampling import lowest_hash
+from .geometry import count_rows, nearest_rows, rows_of
 
-# Rows of the seeding pool, a hashed sample on which k-means++ runs; it grows with the number of centres.
-SEED_POOL = 4096
-POOL_PER_CENTER = 64
+# Rows that a seeding pass draws: at least this many, and so many for each centre. The passes go over all rows.
+DRAWN_ROWS = 256
+DRAWN_PER_CENTER = 8
+SEED_PASSES = 4
 _TINY = float(np.finfo(float).tiny)
 
 
@@ -149,38 +149,75 @@ def lowest_rows(df: DataFrame, k: int, seed: int = 0, tag: str = "init") -> np.n
     return np.array([r["features"] for r in rows], dtype=float)
 
 
-def seeding_pool(df: DataFrame, seed: int = 0, n: int | None = None, size: int = SEED_POOL) -> np.ndarray:
-    check_broadcast(size * width(df), "seeding pool")
-    n = df.count() if n is None else n
-    pool = lowest_hash(df.select("row_id", "features"), {(): size}, tag="pool", seed=seed, sizes={(): n})
-    rows = pool.orderBy("row_id").toArrow()
-    return rows.column("features").combine_chunks().flatten().to_numpy().astype(float).reshape(rows.num_rows, -1)
+def _draw(df: DataFrame, centers: np.ndarray | None, size: int, tag: str, seed: int) -> np.ndarray:
+    """``size`` rows drawn without replacement by their squared distance to the centres, evenly without any.
 
+    Rows with the smallest exponential of that rate win, so a pass needs no total beforehand, and a task passes
+    on no more rows than are drawn. The draw depends on row ids, not on partitions.
+    """
+
+    def kernel(batches):
+        best, kept_x = np.empty(0), None
+        for batch in batches_of(batches):
+            x, u = matrix(batch), values(batch, "u")
+            rate = np.ones(len(x)) if centers is None else nearest_rows(x, centers)[1] ** 2
+            with np.errstate(divide="ignore", invalid="ignore"):
+                key = np.where(rate > 0, -np.log1p(-u) / rate, np.inf)
+            key, x = np.r_[best, key], x if kept_x is None else np.concatenate([kept_x, x])
+            first = np.argpartition(key, size - 1)[:size] if len(key) > size else np.arange(len(key))
+            best, kept_x = key[first], x[first]
+        if kept_x is not None:
+            some = np.isfinite(best)
+            yield pa.RecordBatch.from_arrays([pa.array(best[some]), list_array(kept_x[some])], names=["key", "features"])
+
+    drawn = df.select("features", u01("row_id", tag, seed).alias("u")).mapInArrow(kernel, "key double, features array<double>")
+    rows = drawn.orderBy("key").limit(size).toArrow()
+    flat = rows.column("features").combine_chunks()
+    return flat.flatten().to_numpy().astype(float).reshape(rows.num_rows, -1) if rows.num_rows else np.empty((0, 0))
+
+
+def seeding_rows(df: DataFrame, size: int, *, seed: int = 0, passes: int = SEED_PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """``(rows, weights)``: rows drawn from the whole table in a few passes, and how many rows are nearest to each.
+
+    The first pass draws evenly, each further one by squared distance to what was drawn before, so that a small
+    group far from the rest is drawn from however few its rows are (k-means||, Bahmani et al. 2012).
+    """
+    found = _draw(df, None, size, "seed-0", seed)
+    check_broadcast(found.size * passes, "seeding rows")
+    for i in range(1, passes):
+        more = _draw(df, found, size, f"seed-{i}", seed)
+        if not len(more):  # every row is a copy of one drawn already
+            break
+        found = np.concatenate([found, more])
+    return found, _step(df, {0: Run(found)})[0][1]
 
-def plus_plus(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Spread-out starting centres from a bounded pool, by squared-distance sampling."""
-    centers = [pool[rng.integers(len(pool))]]
+
+def plus_plus(pool: np.ndarray, k: int, rng: np.random.Generator, weights: np.ndarray | None = None) -> np.ndarray:
+    """Spread-out starting centres from bounded weighted rows, by squared-distance sampling."""
+    w = np.ones(len(pool)) if weights is None else weights
+    centers = [pool[rng.choice(len(pool), p=w / w.sum())]]
     near = ((pool - centers[0]) ** 2).sum(1)
     for _ in range(1, k):
-        total = near.sum()
-        pick = rng.choice(len(pool), p=near / total) if total > 0 else rng.integers(len(pool))
+        share = near * w
+        total = share.sum()
+        pick = rng.choice(len(pool), p=share / total) if total > 0 else rng.integers(len(pool))
         centers.append(pool[pick])
         near = np.minimum(near, ((pool - pool[pick]) ** 2).sum(1))
     return np.array(centers)
 
 
-def _settle(pool: np.ndarray, centers: np.ndarray, rounds: int = 15) -> tuple[np.ndarray, float]:
-    """Improve starting centres on the bounded pool."""
+def _settle(pool: np.ndarray, weights: np.ndarray, centers: np.ndarray, rounds: int = 15) -> np.ndarray:
+    """Improve starting centres on bounded weighted rows."""
     inertia = np.inf
     for _ in range(rounds):
         near, dist = nearest_rows(pool, centers)
-        member = (near[None, :] == np.arange(len(centers))[:, None]).astype(float)
+        member = (near[None, :] == np.arange(len(centers))[:, None]) * weights
         n = member.sum(1)
-        centers = np.where(n[:, None] > 0, member @ pool / np.maximum(n, 1)[:, None], centers)
-        last, inertia = inertia, float((dist**2).sum())
+        centers = np.where(n[:, None] > 0, member @ pool / np.maximum(n, _TINY)[:, None], centers)
+        last, inertia = inertia, float((weights * dist**2).sum())
         if last - inertia <= 1e-3 * max(inertia, _TINY):
             break
-    return centers, inertia
+    return centers
 
 
 def fit_many(
@@ -189,8 +226,9 @@ def fit_many(
 ) -> list[KMeansFit]:
     """Best fit for every (k, seed), all advanced by the same passes over the data.
 
-    ``n_init`` starts are drawn and improved on a bounded hashed pool; the best ``full_starts``
-    of them are run on all rows until the centres move less than ``tol`` mean variances.
+    ``n_init`` starts are drawn from weighted rows that a few passes select from the whole table, and ranked
+    by their inertia on all rows, in one more pass for all of them. The best ``full_starts`` are run on all
+    rows until the centres move less than ``tol`` mean variances.
     ``resamples`` maps a position in ``wanted`` to (rate, seed) of its bootstrap weights.
     """
     for k, _ in wanted:
@@ -201,24 +239,27 @@ def fit_many(
 
 
 def _fit_many(df, wanted, n_init, full_starts, max_iter, tol, resamples) -> list[KMeansFit]:
-    n, most = df.count(), max((k for k, _ in wanted), default=0)
+    if not wanted:
+        return []
+    n, most = count_rows(df), max(k for k, _ in wanted)
     if most > n:
         raise ValueError(f"k={most} exceeds the {n} rows available")
-    pool = seeding_pool(df, n=n, size=max(SEED_POOL, POOL_PER_CENTER * most))
+    pool, weights = seeding_rows(df, max(DRAWN_ROWS, DRAWN_PER_CENTER * most))
+    tried: dict[tuple[int, int], list[np.ndarray]] = {}
+    for k, seed in dict.fromkeys(wanted):
+        rng = np.random.default_rng(seed)
+        starts = [_settle(pool, weights, plus_plus(pool, k, rng, weights)) for _ in range(n_init)]
+        # starts that settled on the same centres are one
+        tried[k, seed] = list({np.unique(c.round(9), axis=0).tobytes(): c for c in starts}.values())
+    ready = _ranked(df, tried, max(1, full_starts))
     runs, owner = {}, {}
-    ready: dict[tuple[int, int], list] = {}
     for w, (k, seed) in enumerate(wanted):
-        if (k, seed) not in ready:
-            rng = np.random.default_rng(seed)
-            tried = [_settle(pool, plus_plus(pool, k, rng)) for _ in range(n_init)]
-            ready[k, seed] = sorted(tried, key=lambda s: s[1])[: max(1, full_starts)]
-        for centers, _ in ready[k, seed]:
+        for centers in ready[k, seed]:
             rate, wseed = resamples.get(w, (None, 0))
             owner[len(runs)] = w
             runs[len(runs)] = Run(centers.copy(), rate, wseed)
-    if not runs:
-        return []
-    lloyd(df, runs, max_iter=max_iter, tol=tol * float(pool.var(axis=0).mean()))
+    spread = np.average((pool - np.average(pool, axis=0, weights=weights)) ** 2, axis=0, weights=weights)
+    lloyd(df, runs, max_iter=max_iter, tol=tol * float(spread.mean()))
     fits = []
     for w, (k, seed) in enumerate(wanted):
         best = min((i for i in runs if owner[i] == w), key=lambda i: (runs[i].inertia, i))
@@ -227,6 +268,26 @@ def _fit_many(df, wanted, n_init, full_starts, max_iter, tol, resamples) -> list
     return fits
 
 
+# Cells of centres that one ranking pass compares; more starts take more passes.
+_RANK_CELLS = 1 << 16
+
+
+def _ranked(df: DataFrame, tried: dict[tuple[int, int], list[np.ndarray]], best: int) -> dict[tuple[int, int], list[np.ndarray]]:
+    """The best starts of each request by their inertia on all rows."""
+    open_ = [(key, i, c) for key, starts in tried.items() if len(starts) > best for i, c in enumerate(starts)]
+    inertia: dict[tuple, float] = {}
+    while open_:
+        taken, cells = [], 0
+        while open_ and (not taken or cells + open_[-1][2].size <= _RANK_CELLS):
+            taken.append(open_.pop())
+            cells += taken[-1][2].size
+        sums = _step(df, {i: Run(c) for i, (_, _, c) in enumerate(taken)})
+        inertia.update({taken[i][:2]: v[2] for i, v in sums.items()})
+    return {
+        key: [starts[i] for i in sorted(range(len(starts)), key=lambda i: (inertia.get((key, i), 0.0), i))[:best]] for key, starts in tried.items()
+    }
+
+
 def fit_kmeans(df: DataFrame, k: int, *, seed: int = 0, n_init: int = 10, max_iter: int = 100) -> KMeansFit:
     if k < 2:
         raise ValueError("k must be at least 2")

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import ari_of, blobs, frame
 from pyspark.sql import functions as F
@@ -128,10 +129,10 @@ def test_density_clusters_mark_noise_and_ignore_k(dense_and_sparse):
     assert a.clusters.where("persistence > 0 and persistence <= 1").count() == 2
 
 
-def test_density_in_chunks_equals_one_sweep(dense_and_sparse):
+def test_density_in_rounds_equals_one_task(dense_and_sparse):
     df = dense_and_sparse.where("row_id < 90")
     a = density.fit_density(df, min_cluster_size=8)
-    b = density.fit_density(df, min_cluster_size=8, chunk=35, block_rows=40, max_edges=120)
+    b = density.fit_density(df, min_cluster_size=8, finish_edges=80, block_rows=40, max_edges=200)
     pairs = a.labels.join(b.labels.withColumnRenamed("cluster", "other"), "row_id").select("cluster", "other").distinct().collect()
     assert len(pairs) == len({r["cluster"] for r in pairs}) == len({r["other"] for r in pairs})
     assert np.allclose(sorted(r["stability"] for r in a.clusters.collect()), sorted(r["stability"] for r in b.clusters.collect()))
@@ -184,3 +185,42 @@ def test_runs_score_compare_and_rank(spark, three):
     assert len(matrix) == 4 and abs(matrix[good.name, f"{good.name}#2"]) < 0.2  # same name, other labels
     err = runs.error_analysis(three.join(good.labels, "row_id"), label="truth", n_worst=20).first()
     assert err["n_inspected"] == 20 and err["threshold"] <= err["mean_silhouette"] and sum(err["per_cluster_counts"].values()) == 20
+
+
+@pytest.mark.parametrize("far,at", [(6, 1000.0), (20, 300.0)])
+def test_kmeans_finds_a_few_rows_far_away(spark, far, at):
+    rng = np.random.default_rng(0)
+    near = rng.normal(size=(60_000, 2))
+    df = spark.createDataFrame(
+        pd.DataFrame({"row_id": np.arange(60_000 + far), "features": [*near.tolist(), *[[at, at]] * far]})
+    ).repartition(8)
+    fit = kmeans.fit_kmeans(df, 2, n_init=3)
+    assert sorted(fit.sizes.tolist()) == [far, 60_000]
+    assert fit.inertia == pytest.approx(((near - near.mean(0)) ** 2).sum())
+
+
+def test_seeding_rows_come_from_all_rows_and_weigh_them(spark):
+    x = np.r_[np.zeros((900, 2)), np.full((90, 2), 50.0), [[500.0, 0.0]] * 9, [[0.0, 9000.0]]]
+    df = frame(spark, x)
+    rows, weights = kmeans.seeding_rows(df, 4)
+    again, _ = kmeans.seeding_rows(df.repartition(2), 4)
+    assert weights.sum() == 1000 and {tuple(r) for r in rows} == {(0.0, 0.0), (50.0, 50.0), (500.0, 0.0), (0.0, 9000.0)}
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
+def test_rows_without_a_distance_are_named(spark):
+    from pyspark.sql import types as T
+
+    from kinfold.operators.geometry import UnsoundRows
+
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("features", T.ArrayType(T.DoubleType()))])
+    for bad in (None, [1.0, None], [1.0, float("nan")], [1.0]):
+        df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)] + [(9, bad)], schema)
+        for fit in (lambda: kmeans.fit_kmeans(df, 2), lambda: linkage.fit_agglomerative(df, 2), lambda: density.fit_density(df)):
+            with pytest.raises(UnsoundRows):
+                fit()
+
+
+def test_misspelt_options_are_refused(three):
+    with pytest.raises(TypeError, match="min_cluster_sise"):
+        algorithms.fit_algorithm("hdbscan", three, 2, min_cluster_sise=20)
