@@ -77,9 +77,9 @@ def main() -> None:
     timed("kmeans_full", lambda: kmeans.fit_kmeans(num, 2, n_init=20), f"{n}x4 k=2 n_init=20")
     timed("gmm_full", lambda: mixture.fit_mixture(num, 2), f"{n}x4 k=2 full")
     timed("kmeans_sweep", lambda: sweep(num, [2, 3, 4, 5, 6, 7, 8]), f"{n}x4 k=2..8")
-    timed("ward_full", lambda: done(linkage.fit_agglomerative(num, 2)), f"{n}x4 k=2")
+    timed("ward_full", lambda: done(linkage.fit_agglomerative(num, 2, m=linkage.MAX_PROTOTYPES)), f"{n}x4 k=2 over {linkage.MAX_PROTOTYPES} groups")
     timed("kmeans_sample", lambda: kmeans.fit_kmeans(sample, 2, n_init=20), f"{s}x4 k=2 n_init=20")
-    timed("ward_sample", lambda: done(linkage.fit_agglomerative(sample, 2)), f"{s}x4 k=2")
+    timed("ward_sample", lambda: done(linkage.fit_agglomerative(sample, 2)), f"{s}x4 k=2, all rows")
     timed("gmm_sample", lambda: mixture.fit_mixture(sample, 2), f"{s}x4 k=2 full")
     timed("hdbscan_sample", lambda: done(density.fit_density(sample, min_cluster_size=100, min_samples=10).labels), f"{s}x4")
     timed("ae_kmeans", lambda: done(deep.fit_ae_kmeans(train, 2).labels(train)), f"{t}x4 100+50 epochs")

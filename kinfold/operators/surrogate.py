@@ -195,38 +195,50 @@ def shap_importance(df: DataFrame, tree: SurrogateTree, *, background: int = 200
 
 
 def counterfactuals(
-    queries: DataFrame, tree: SurrogateTree, target: int, box: list[tuple[float, float]], *, total: int = 3,
-    vary: list[str] | None = None, draws: int = 1000, seed: int = 0,
+    queries: DataFrame, tree: SurrogateTree, target: int, box: list[tuple[float, float]], *, total: int = 3, vary: list[str] | None = None
 ) -> DataFrame:
-    """``(row_id, rank, features, distance)``: for every query row, the nearest changed copies that
-    the tree puts into ``target``.
+    """``(row_id, found, rank, features, distance)``: the least changes that make the tree put a row into ``target``.
 
-    Candidates replace some of the features that may vary by even draws from the data's box. They
-    are made and judged inside the row's task, so many rows are explained in one scan.
+    A leaf of the target is a box, and the point of a box nearest to a row is known in closed form: every feature
+    moves to the near side of its interval or stays. Ranks are over the target's leaves, so the first is the nearest
+    of all points. Distances are in widths of the data's ``box``. Features that may not vary have to fit a leaf as
+    they are; a row that fits none has one row, not ``found``.
     """
-    idx = [tree.features.index(f) for f in (vary or list(tree.features))]
-    lo, hi = np.array([a for a, _ in box]), np.array([b for _, b in box])
-    width = np.where(hi > lo, hi - lo, 1.0)
+    d, idx = len(tree.features), [tree.features.index(f) for f in (vary or list(tree.features))]
+    fixed = np.setdiff1d(np.arange(d), idx)
+    width = np.array([b - a if b > a else 1.0 for a, b in box])
+    leaves = [leaf for leaf in tree.leaves if tree.classes[int(leaf.shares.argmax())] == target]
+    low, high = np.full((len(leaves), d), -np.inf), np.full((len(leaves), d), np.inf)
+    for i, leaf in enumerate(leaves):
+        for f, (a, b) in _patterns(tree, leaf)[1].items():
+            low[i, f], high[i, f] = a, b
+    above = np.nextafter(low, np.inf)  # intervals are open below
+
+    def nearest(x: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        moved = np.where(x[:, None, :] > high, high, np.where(x[:, None, :] <= low, above, x[:, None, :]))
+        distance = np.sqrt((((moved - x[:, None, :]) / width) ** 2).sum(axis=2))
+        distance[(moved != x[:, None, :])[:, :, fixed].any(axis=2)] = np.inf
+        order = np.argsort(distance, axis=1, kind="stable")[:, :total]
+        best = np.take_along_axis(distance, order, axis=1)
+        row, rank = np.nonzero(np.isfinite(best))
+        alone = np.setdiff1d(np.arange(len(x)), row)
+        points = np.concatenate([moved[row, order[row, rank]], x[alone]])
+        blank = np.arange(len(points)) >= len(row)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids[np.r_[row, alone]]), pa.array(~blank), pa.array(np.r_[rank + 1, np.zeros(len(alone))].astype(np.int32), mask=blank),
+                list_array(points), pa.array(np.r_[best[row, rank], np.zeros(len(alone))], mask=blank),
+            ],
+            names=["row_id", "found", "rank", "features", "distance"],
+        )
 
     def run(batches):
+        step = max(1, (1 << 20) // max(1, len(leaves) * d))
         for b in batches_of(batches):
             x, ids = matrix(b), values(b, "row_id")
-            out = {"row_id": [], "rank": [], "features": [], "distance": []}
-            for row, rid in zip(x, ids):
-                rng = np.random.default_rng([seed, int(rid) % (1 << 62)])
-                cand = np.repeat(row[None], draws, axis=0)
-                for f in idx:
-                    change = rng.random(draws) < 0.5
-                    cand[change, f] = (lo[f] + rng.random(draws) * (hi[f] - lo[f]))[change]
-                good = cand[tree.predict(cand) == target]
-                dist = np.sqrt((((good - row) / width) ** 2).sum(1))
-                for r, i in enumerate(np.argsort(dist, kind="stable")[:total]):
-                    for name, v in zip(out, (int(rid), r + 1, good[i], float(dist[i]))):
-                        out[name].append(v)
-            if out["row_id"]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["row_id"], pa.int64()), pa.array(out["rank"], pa.int32()), list_array(np.array(out["features"])), pa.array(out["distance"])],
-                    names=list(out),
-                )
-
-    return queries.select("row_id", "features").mapInArrow(run, "row_id bigint, rank int, features array<double>, distance double")
+            for at in range(0, len(x), step):
+                yield nearest(x[at : at + step], ids[at : at + step])
+
+    return queries.select(F.col("row_id").cast("bigint").alias("row_id"), "features").mapInArrow(
+        run, "row_id bigint, found boolean, rank int, features array<double>, distance double"
+    )

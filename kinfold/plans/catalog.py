@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +13,7 @@ from ..functions.hashing import u01
 from ..functions.vectors import get_distance, literal_vector, pack
 from ..operators import audit, choose_k, cleaning, contingency, density, downstream, drift, features as fe, geometry
 from ..operators import internal_scores as inner
-from ..operators import kmeans, linkage, mixture, pairs, profiles, ranking, registry, runs, sampling, significance
+from ..operators import kmeans, linkage, merging, mixture, pairs, profiles, ranking, registry, runs, sampling, significance
 from ..operators import stability, surrogate, tendency
 from ..operators.deep import assignments as soft
 from ..operators.deep import training as deep
@@ -23,7 +24,7 @@ from ..streaming import assign as stream_assign
 from ..streaming import drift as stream_drift
 from . import deep_audit, portfolio, prepare, views
 from .settings import Settings
-from .views import FEATURES, LINE_FEATURES, emb, feat, feat_vectors, lines, table, txn
+from .views import FEATURES, LINE_FEATURES, emb, feat, feat_vectors, lines, suppliers, table, txn
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -401,6 +402,7 @@ def vat_image(spark, sf_dir):
 # --- clustering ----------------------------------------------------------------------------------
 
 KS = [2, 3, 4, 5, 6]
+RULES = (3.0, 1.0, 0.25)  # cuts of a small tree over log_amount, k25 and time_sin
 STEPS = 5
 
 
@@ -473,24 +475,84 @@ def gmm_labels(spark, sf_dir):
 
 @query
 def ward_labels(spark, sf_dir):
-    return cleaning.label_counts(linkage.fit_agglomerative(_vectors(spark, sf_dir), 4, m=256))
+    return cleaning.label_counts(linkage.fit_agglomerative(_vectors(spark, sf_dir), 4))
 
 
 @query
 def linkage_compare(spark, sf_dir):
-    return rounded(linkage.compare_linkages(_vectors(spark, sf_dir), 4, m=256))
+    return rounded(linkage.compare_linkages(_vectors(spark, sf_dir), 4))
 
 
 @query
 def silhouette_cut(spark, sf_dir):
     df = _vectors(spark, sf_dir)
-    labels, _, _ = linkage.cut_by_silhouette(df, linkage.fit_linkage(df, m=256), [2, 3, 4], sample_size=1000)
+    labels, _, _ = linkage.cut_by_silhouette(df, linkage.fit_linkage(df), [2, 3, 4])
     return cleaning.label_counts(labels)
 
 
 @query
 def metric_ablation(spark, sf_dir):
-    return rounded(linkage.metric_ablation(_vectors(spark, sf_dir), 3, m=256, sample_size=1000))
+    return rounded(linkage.metric_ablation(_vectors(spark, sf_dir), 3))
+
+
+def _supplier_trees(spark, sf_dir):
+    """Trees of all suppliers; most merges are made in rounds, the last ones from a matrix."""
+    df = checkpoint(suppliers(spark, sf_dir))
+    return df, {name: merging.fit_tree(df, linkage=name, finish=48) for name in linkage.LINKAGES}
+
+
+def _all_linkages(trees, table):
+    parts = [table(t).withColumn("linkage", F.lit(name)) for name, t in trees.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query
+def linkage_labels(spark, sf_dir):
+    """Four groups of suppliers by each linkage, numbered by their smallest member."""
+    _, trees = _supplier_trees(spark, sf_dir)
+    return _all_linkages(trees, lambda t: t.labels(4)).select("linkage", "row_id", "cluster")
+
+
+@query
+def linkage_heights(spark, sf_dir):
+    """The height of every merge, lowest first."""
+    _, trees = _supplier_trees(spark, sf_dir)
+    w = Window.partitionBy("linkage").orderBy("height")
+    return rounded(_all_linkages(trees, lambda t: t.merges()).select("linkage", F.row_number().over(w).alias("step"), "height"))
+
+
+@query
+def linkage_cut_heights(spark, sf_dir):
+    """Groups of suppliers left at three heights, as shares of the tallest merge."""
+    _, trees = _supplier_trees(spark, sf_dir)
+
+    def cuts(t):
+        top = t.tallest(1)[0]
+        groups = t.groups_at([top * f for f in (0.2, 0.5, 0.9)])
+        return groups.select(F.posexplode("groups").alias("cut", "g")).groupBy("cut").agg(F.countDistinct("g").alias("n_groups"))
+
+    return _all_linkages(trees, cuts).select("linkage", "cut", "n_groups")
+
+
+@query
+def linkage_fidelity(spark, sf_dir):
+    """Cophenetic correlation over all pairs of suppliers."""
+    _, trees = _supplier_trees(spark, sf_dir)
+    rows = [(name, t.cophenetic_correlation()) for name, t in trees.items()]
+    return rounded(spark.createDataFrame(rows, "linkage string, cophenetic_corr double"))
+
+
+@query
+def linkage_distances(spark, sf_dir):
+    """Smallest, largest and mean distance between the classes of embeddings."""
+    df = checkpoint(emb(spark, sf_dir))
+    tables = [
+        merging.cluster_distances(df, linkage=name).withColumnRenamed("height", name) for name in ("single", "complete", "average")
+    ]
+    return rounded(tables[0].join(tables[1], ["a", "b"]).join(tables[2], ["a", "b"]))
 
 
 @query
@@ -756,7 +818,7 @@ def _tree(spark, sf_dir):
 
 @query
 def tree_rules(spark, sf_dir):
-    return rounded(surrogate.tree_rules(spark, _tree(spark, sf_dir)[1]).drop("conditions"))
+    return rounded(surrogate.tree_rules(spark, _tree(spark, sf_dir)[1]))
 
 
 @query
@@ -773,8 +835,22 @@ def shap_importance(spark, sf_dir):
 def counterfactuals(spark, sf_dir):
     """For every event outside cluster 0, the nearest changed copies that would land there."""
     df, tree = _tree(spark, sf_dir)
-    found = surrogate.counterfactuals(df.where("cluster <> 0"), tree, 0, tendency.box_of(df), draws=100)
-    return rounded(found.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.avg("distance").alias("distance")))
+    found = surrogate.counterfactuals(df.where("cluster <> 0"), tree, 0, tendency.box_of(df))
+    return rounded(found.groupBy("found", "rank").agg(F.count(F.lit(1)).alias("n"), F.avg("distance").alias("distance")))
+
+
+@query
+def counterfactual_rules(spark, sf_dir):
+    """The same for a tree of known rules, with k25 kept as it is."""
+    df = _vectors(spark, sf_dir)
+    paths = [
+        ((0, True, RULES[0]), (3, True, RULES[1])), ((0, True, RULES[0]), (3, False, RULES[1])),
+        ((0, False, RULES[0]), (1, True, RULES[2])), ((0, False, RULES[0]), (1, False, RULES[2])),
+    ]
+    leaves = tuple(surrogate.Leaf(i, p, np.eye(2)[c]) for i, (p, c) in enumerate(zip(paths, (0, 1, 1, 0))))
+    tree = surrogate.SurrogateTree((0, 1), tuple(FEATURES), leaves)
+    found = surrogate.counterfactuals(df, tree, 1, [(0.0, 1.0)] * 4, vary=FEATURES[:3])
+    return rounded(found.select("row_id", "found", "rank", "distance"))
 
 
 # --- downstream, audit, drift -----------------------------------------------------------------------

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .catalog import KS, STEPS
-from .views import FEATURES, LINE_FEATURES, SQL_COPIES, SQL_EMB, SQL_FEAT, SQL_LINES, SQL_TXN, sql_u01
+from .catalog import KS, RULES, STEPS
+from .views import FEATURES, LINE_FEATURES, SQL_COPIES, SQL_EMB, SQL_FEAT, SQL_LINES, SQL_SUPPLIERS, SQL_TXN, sql_u01
 
 ORACLE: dict[str, str] = {}
 
@@ -251,6 +251,48 @@ for _k in (2, 3, 4):
       JOIN {_last} USING (row_id) WHERE rn <= 400), {_silhouette("lab")} SELECT {_k} AS k, avg(s) AS score FROM sil)""")
 add("silhouette_by_k", f"WITH {SQL_FEAT}, {', '.join(_ctes)}, sc AS ({union(_parts)}) SELECT k, {r('score', 5)} AS score, k = (SELECT arg_max(k, score) FROM sc) AS recommended FROM sc")
 
+# --- least changes into one class of a small tree ------------------------------------------------------
+
+add("counterfactual_rules", f"""WITH {SQL_FEAT}, b AS (SELECT row_id, k25 > {RULES[1]} AS fits, greatest(log_amount - {RULES[0]}, 0) AS d1,
+  sqrt(pow(greatest({RULES[0]} - log_amount, 0), 2) + pow(greatest(time_sin - {RULES[2]}, 0), 2)) AS d2 FROM feat),
+  o AS (SELECT row_id, 1 AS leaf, d1 AS d FROM b WHERE fits UNION ALL SELECT row_id, 2, d2 FROM b)
+SELECT row_id, true AS found, CAST(row_number() OVER (PARTITION BY row_id ORDER BY d, leaf) AS INTEGER) AS rank, {r("d")} AS distance FROM o""")
+
+# --- linkage by one merge after the other --------------------------------------------------------
+
+_between = {"single": "min(d)", "complete": "max(d)", "average": "avg(d)"}
+
+
+def _merging(name: str) -> str:
+    if name == "ward":
+        pairs = """SELECT a.c AS ca, b.c AS cb, sqrt(2.0 * a.n * b.n / (a.n + b.n) * ((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z))) AS v
+          FROM (SELECT c, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM ward JOIN sup USING (i) GROUP BY c) a
+          JOIN (SELECT c, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM ward JOIN sup USING (i) GROUP BY c) b ON a.c < b.c"""
+    else:
+        pairs = f"""SELECT a.c AS ca, b.c AS cb, {_between[name]} AS v FROM {name} a JOIN {name} b ON a.c < b.c
+          JOIN sd ON sd.i = a.i AND sd.j = b.i GROUP BY 1, 2"""
+    return f"""{name} AS (SELECT 0 AS step, i, i AS c, 0.0::DOUBLE AS h FROM sup UNION ALL
+      SELECT step + 1, s.i, CASE WHEN s.c = m.cb THEN m.ca ELSE s.c END, m.v FROM {name} s, (SELECT * FROM ({pairs}) ORDER BY v, ca, cb LIMIT 1) m)"""
+
+
+_NAMES = ["single", "complete", "average", "ward"]
+_TREES = f"""WITH RECURSIVE {SQL_SUPPLIERS},
+  sd AS MATERIALIZED (SELECT a.i, b.i AS j, sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)) AS d FROM sup a JOIN sup b ON a.i <> b.i),
+  {", ".join(_merging(n) for n in _NAMES)},
+  trees AS MATERIALIZED ({union([f"SELECT '{n}' AS linkage, * FROM {n}" for n in _NAMES])}),
+  merges AS MATERIALIZED (SELECT DISTINCT linkage, step, h FROM trees WHERE step > 0)"""
+add("linkage_labels", f"""{_TREES} SELECT linkage, i AS row_id, CAST(dense_rank() OVER (PARTITION BY linkage ORDER BY c) - 1 AS INTEGER) AS cluster
+  FROM trees WHERE step = (SELECT count(*) FROM sup) - 4""")
+add("linkage_heights", f"{_TREES} SELECT linkage, CAST(step AS INTEGER) AS step, {r('h')} AS height FROM merges")
+add("linkage_cut_heights", f"""{_TREES}, tops AS (SELECT linkage, max(h) AS top FROM merges GROUP BY 1)
+  SELECT linkage, CAST(k AS INTEGER) AS cut, (SELECT count(*) FROM sup) - count(*) FILTER (h <= top * [0.2, 0.5, 0.9][k + 1]) AS n_groups
+  FROM merges JOIN tops USING (linkage), range(3) AS x(k) GROUP BY linkage, k""")
+add("linkage_fidelity", f"""{_TREES}, joined AS (SELECT a.linkage, a.i, b.i AS j, min(a.h) AS h FROM trees a JOIN trees b
+  ON a.linkage = b.linkage AND a.step = b.step AND a.c = b.c AND a.i < b.i GROUP BY 1, 2, 3)
+  SELECT linkage, {r('corr(d, h)')} AS cophenetic_corr FROM joined JOIN sd USING (i, j) GROUP BY linkage""")
+add("linkage_distances", f"""WITH {SQL_EMB} SELECT a.cluster AS a, b.cluster AS b, {r('min(list_distance(a.f, b.f))')} AS single,
+  {r('max(list_distance(a.f, b.f))')} AS complete, {r('avg(list_distance(a.f, b.f))')} AS average FROM emb a JOIN emb b ON a.cluster < b.cluster GROUP BY 1, 2""")
+
 # --- scores ----------------------------------------------------------------------------------------
 
 add("contingency_table", "SELECT l_linestatus AS t, l_returnflag AS p, count(*) AS n FROM lineitem GROUP BY 1, 2")

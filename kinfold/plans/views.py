@@ -86,6 +86,16 @@ def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(e)
 
 
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One vector per supplier: the balance, and means over the lines that the supplier delivered."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_acctbal").cast("double") / 1000).alias("balance"))
+    li = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.avg(F.col("l_quantity").cast("double")).alias("quantity"), (F.avg(F.col("l_discount").cast("double")) * 500).alias("discount")
+    )
+    joined = s.join(li, F.col("s_suppkey") == F.col("l_suppkey")).withColumn("row_id", F.col("s_suppkey").cast("bigint"))
+    return pack(joined, ["balance", "quantity", "discount"], "row_id")
+
+
 def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with exact copies of the urgent ones, told apart only by row id."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -119,6 +129,9 @@ SQL_EMB = """emb AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS f,
   dims AS (SELECT row_id, cluster, unnest(f) AS x, generate_subscripts(f, 1) AS i FROM emb),
   cen AS (SELECT cluster, list(m ORDER BY i) AS c, any_value(n) AS n FROM
     (SELECT cluster, i, avg(x) AS m, count(*) AS n FROM dims GROUP BY 1, 2) GROUP BY 1)"""
+SQL_SUPPLIERS = """sup AS MATERIALIZED (SELECT CAST(s_suppkey AS BIGINT) AS i, CAST(s_acctbal AS DOUBLE) / 1000 AS x, q AS y, e * 500 AS z
+  FROM supplier JOIN (SELECT l_suppkey, avg(CAST(l_quantity AS DOUBLE)) AS q, avg(CAST(l_discount AS DOUBLE)) AS e FROM lineitem GROUP BY 1)
+  ON s_suppkey = l_suppkey)"""
 SQL_COPIES = """copies AS (SELECT o_orderkey * 2 AS row_id, o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
   UNION ALL SELECT o_orderkey * 2 + 1, o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
   WHERE o_orderpriority = '1-URGENT')"""

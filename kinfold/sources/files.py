@@ -67,10 +67,10 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path) if path_exists(spark, path) else None
 
 
-def file_manifest(spark: SparkSession, path: str, source: str, *, pattern: str = "*") -> DataFrame:
-    """Per file: path, size, sha256 of the bytes, source and the time of listing.
+def file_manifest(spark: SparkSession, path: str, source: str, *, pattern: str = "*", listed_at: str | None = None) -> DataFrame:
+    """Per file: path, size, sha256 of the bytes, source and the time of listing, which is now unless the caller names it.
 
-    Files are hashed by executors, one task per file; a file must fit in one task's memory.
+    Files are hashed where Spark reads them, one task per file or a few small ones; a file must fit in one task's memory.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select(
@@ -78,7 +78,7 @@ def file_manifest(spark: SparkSession, path: str, source: str, *, pattern: str =
         F.col("length").alias("size_bytes"),
         F.sha2("content", 256).alias("sha256"),
         F.lit(source).alias("source"),
-        F.lit(datetime.now(UTC).isoformat()).alias("downloaded_at"),
+        F.lit(listed_at or datetime.now(UTC).isoformat()).alias("downloaded_at"),
     )
 
 

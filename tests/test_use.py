@@ -66,11 +66,21 @@ def test_tree_rules_cover_all_rows_and_attributions_add_up(spark, opposite):
         return out
 
     assert np.allclose(phi.sum(1), share(x) - share(bg).mean(0))
-    found = surrogate.counterfactuals(df.where("cluster = 0").limit(5), tree, 1, box_of(df), vary=["b", "c"]).collect()
-    assert len(found) == 15
-    start = {r["row_id"]: r["features"] for r in df.collect()}
-    assert all(r["features"][0] == start[r["row_id"]][0] for r in found)
-    assert set(tree.predict(np.array([r["features"] for r in found]))) == {1}
+    start = {r["row_id"]: np.array(r["features"]) for r in df.collect()}
+    box = box_of(df)
+    width = np.array([b - a for a, b in box])
+    found = surrogate.counterfactuals(df.where("cluster = 0").limit(5), tree, 1, box, vary=["b", "c"]).collect()
+    assert len({r["row_id"] for r in found}) == 5
+    moved = [r for r in found if r["found"]]
+    assert moved and all(r["features"][0] == start[r["row_id"]][0] for r in moved)
+    assert set(tree.predict(np.array([r["features"] for r in moved]))) == {1}
+    rng = np.random.default_rng(0)
+    for r in surrogate.counterfactuals(df.where("cluster = 0").limit(5), tree, 1, box).where("rank = 1").collect():
+        draws = start[r["row_id"]] + rng.normal(0, 0.3, (20_000, 3)) * width  # none of the target is nearer
+        away = np.sqrt((((draws - start[r["row_id"]]) / width) ** 2).sum(1))[tree.predict(draws) == 1]
+        assert r["distance"] <= away.min() + 1e-9
+    none = surrogate.counterfactuals(df.limit(3), tree, 7, box).collect()
+    assert [(r["found"], r["rank"], r["distance"]) for r in none] == [(False, None, None)] * 3
 
 
 def test_strata_and_composition(spark):
