@@ -202,3 +202,16 @@ def test_labels_without_a_centroid_have_no_distance(spark, columns):
     centroids = geometry.Centroids([0, 1], np.stack([x[0], x[1]]))
     rows = geometry.own_centroid_distance(df, centroids).orderBy("row_id").collect()
     assert [r["distance"] for r in rows] == [0.0, 0.0, 0.0, None]
+
+
+def test_adjusted_information_of_a_matrix_equals_that_of_a_table(spark):
+    rng = np.random.default_rng(4)
+    for shape in ((3, 4), (12, 2), (1, 5)):
+        m = rng.integers(0, 9, shape)
+        rows = [(i, j, int(v)) for (i, j), v in np.ndenumerate(m) if v]
+        want = contingency.external_scores(spark.createDataFrame(rows, "t int, p int, n long")).first()["ami"]
+        assert cells.ami(m) == pytest.approx(want, abs=1e-12)
+    assert cells.ami(np.diag([5, 7, 9])) == pytest.approx(1.0)
+    df = spark.createDataFrame([(i % 3, (i % 3) if i % 5 else 0) for i in range(300)], "class int, cluster int")
+    r = significance.bootstrap_ci(df, "ami", replicates=50).first()
+    assert r["metric"] == "ami" and r["lower"] <= r["observed"] <= r["upper"]
