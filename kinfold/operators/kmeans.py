@@ -16,7 +16,7 @@ from ..session import TooLarge, check_broadcast, is_kept, kept
 from .geometry import count_rows, nearest_rows, rows_of
 
 # Rows that a seeding pass draws: at least this many, and so many for each centre. The passes go over all rows.
-DRAWN_ROWS = 256
+DRAWN_ROWS = 64
 DRAWN_PER_CENTER = 8
 SEED_PASSES = 4
 _TINY = float(np.finfo(float).tiny)
