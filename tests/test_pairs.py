@@ -26,7 +26,7 @@ def table(spark, points):
 
 def test_rows_are_sent_to_few_blocks(table, points):
     edges = pairs.tree_edges(table, block_rows=10).localCheckpoint()
-    assert edges.count() < 5000  # 40 blocks of 10 rows leave twice as many
+    assert edges.count() < 5000  # 40 blocks of 10 rows leave 7,594
     dist, tree = pair_distances(points, points), minimum_tree(edges).collect()
     assert len(tree) == N - 1
     assert sum(r["w"] for r in tree) == pytest.approx(pairs._dense_tree(dist)[2].sum())
