@@ -215,3 +215,17 @@ def test_adjusted_information_of_a_matrix_equals_that_of_a_table(spark):
     df = spark.createDataFrame([(i % 3, (i % 3) if i % 5 else 0) for i in range(300)], "class int, cluster int")
     r = significance.bootstrap_ci(df, "ami", replicates=50).first()
     assert r["metric"] == "ami" and r["lower"] <= r["observed"] <= r["upper"]
+
+
+def test_diameters_look_at_far_rows_only(spark, monkeypatch):
+    """The diameter of every row's pairs, from few rows; a cluster of other shape and one of equal rows do not disturb."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.uniform(0, 1, (1500, 3)) * [9, 1, 1], rng.normal(20, 0.5, (900, 3)), np.full((100, 3), -5.0)])
+    df = frame(spark, x, cluster=np.repeat([0, 1, 2], [1500, 900, 100])).cache()
+    whole = internal_scores.score_internal("dunn", df)
+    seen = []
+    pairs = internal_scores.pair_summary
+    monkeypatch.setattr(internal_scores, "PAIRED_ROWS", 200)
+    monkeypatch.setattr(internal_scores, "pair_summary", lambda m, **o: seen.append((m.count(), o["n"])) or pairs(m, **o))
+    assert internal_scores.score_internal("dunn", df) == whole
+    assert seen[0][0] == seen[0][1] < 300
