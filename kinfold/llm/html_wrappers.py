@@ -16,6 +16,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,6 +33,8 @@ BROADCAST_BYTES = 32 << 20
 # lists and tables recur for other reasons, they are never constant.
 CONSTANT_PAGES, CONSTANT_SHARE = 5, 0.9
 ROWS = frozenset("li dt dd td th".split())
+# Attributes, labels and places up to this length are remembered, as many as REMEMBERED of each; templates repeat them.
+SHORT, REMEMBERED = 512, 1 << 12
 # Pages with a larger share of constant text are near copies of each other; they stay whole.
 COPY_SHARE = 0.9
 
@@ -42,6 +45,8 @@ ALIGN_CELLS = 1 << 12
 
 TAG_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 TAG_END = re.compile(r"""[>"']""")
+# A whole tag whose quotes are closed; nothing is tried twice, so a tag that does not fit costs one walk.
+PLAIN_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title".split())
@@ -82,7 +87,13 @@ class Element:
 
 
 def _opened(tag: str, attributes: str) -> Element:
-    """``label`` is the tag with its class, id and role, without digits, which number things.
+    read = _named_before if len(attributes) <= SHORT else _named
+    label, hint = read(tag, attributes)
+    return Element(label, tag, hint)
+
+
+def _named(tag: str, attributes: str) -> tuple[str, str]:
+    """``(label, hint)``: ``label`` is the tag with its class, id and role, without digits, which number things.
 
     ``hint`` is what speaks for boilerplate: the tag or role ("tag"), the name of readers' comments or promotions ("thread"),
     a clear name ("name"), a vague name ("word"), or nothing.
@@ -106,7 +117,10 @@ def _opened(tag: str, attributes: str) -> Element:
                     elif not hint and not words.isdisjoint(HINTS):
                         hint = "word"
             label += f"[{m[1].lower()}={re.sub('[0-9]+', '', value)}]"
-    return Element(label, tag, hint)
+    return label, hint
+
+
+_named_before = lru_cache(REMEMBERED)(_named)
 
 
 def _tags(source: str) -> Iterator[tuple[int, int, str, str, str]]:
@@ -128,6 +142,11 @@ def _tags(source: str) -> Iterator[tuple[int, int, str, str, str]]:
             continue
         if start > last:
             return
+        plain = PLAIN_TAG.match(source, start) if start >= loose else None
+        if plain is not None:
+            at = plain.end()
+            yield start, at, plain[1], plain[2].lower(), plain[3]
+            continue
         name = TAG_NAME.match(source, start + 1)
         if name is None:
             if source[start + 1 : start + 2] in ("!", "?", "/"):
@@ -182,14 +201,15 @@ class _Open:
             self.watched.append(len(self.stack))
         self.count[e.tag] = self.count.get(e.tag, 0) + 1
         self.stack.append(e)
-        self.unread += len(self.stack) > MAX_DEPTH and (e.tag in UNREAD or e.tag in ASIDE)
+        if len(self.stack) > MAX_DEPTH:
+            self.unread += e.tag in UNREAD or e.tag in ASIDE
 
     def cut(self, k: int) -> None:
         while len(self.stack) > k:
-            deep = len(self.stack) > MAX_DEPTH
             e = self.stack.pop()
             self.count[e.tag] -= 1
-            self.unread -= deep and (e.tag in UNREAD or e.tag in ASIDE)
+            if len(self.stack) >= MAX_DEPTH:
+                self.unread -= e.tag in UNREAD or e.tag in ASIDE
         while self.watched and self.watched[-1] >= k:
             self.watched.pop()
 
@@ -203,13 +223,17 @@ class _Open:
     def implied(self, tag: str) -> None:
         """Close what ``tag`` closes by opening: the nearest such element above the nearest container."""
         targets, stop = CLOSES[tag]
-        if any(self.count.get(t) for t in targets):
-            for k in reversed(self.watched):
-                if self.stack[k].tag in targets:
-                    self.cut(k)
-                    return
-                if self.stack[k].tag in stop:
-                    return
+        for t in targets:
+            if self.count.get(t):
+                break
+        else:
+            return
+        for k in reversed(self.watched):
+            if self.stack[k].tag in targets:
+                self.cut(k)
+                return
+            if self.stack[k].tag in stop:
+                return
 
 
 def parse(source: str) -> Element:
@@ -253,7 +277,7 @@ def _both(a: str, b: str) -> str:
 
 def _folded(tokens: list[list[str]]) -> list[list[str]]:
     """Adjacent equal tokens, then adjacent equal sequences, become one repeated token or group."""
-    if len(tokens) < 2:
+    if len(tokens) < 2 or len({t for t, _ in tokens}) == len(tokens):
         return tokens
     for width in range(1, max(2, len(tokens) // 2 + 1)):
         out: list[list[str]] = []
@@ -321,6 +345,14 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+_hash_before = lru_cache(REMEMBERED)(_hash)
+
+
+def _place(path: str) -> int:
+    """The hash of a place; pages of a template share their places."""
+    return _hash_before(path) if len(path) <= SHORT else _hash(path)
+
+
 def infer(element: Element, in_link: bool = False) -> dict:
     """The wrapper of one page: its own repeated groups, all texts as they are."""
     children: dict[str, dict] = {}
@@ -400,7 +432,7 @@ def linked(wrapper: dict, path: str = "") -> list[int]:
         tag = label.partition("[")[0]
         below = f"{path}/{label}" if tag in BLOCK else path
         if tag in LISTS and _sum(w, "l") > _sum(w, "x") and _sum(w, "a") >= 3 * w["n"]:
-            out.append(_hash(below))
+            out.append(_place(below))
         out += linked(w, below)
     return out
 
@@ -428,7 +460,7 @@ def boilerplate(page: Element, masses: Masses, root: Element, inside: bool, link
             return False
         if e.tag == "header" and inside:
             return False
-        many = e.tag in LISTS and _hash(place) in links
+        many = e.tag in LISTS and _place(place) in links
         return e.hint in ("tag", "thread") or (e.hint == "name" and not inside) or (many and (not inside or e.hint != ""))
 
     return out
@@ -479,7 +511,7 @@ def _lines(page: Element, skipped, chosen: list[Element]) -> list[tuple[str, str
     blocks: list[tuple[str, list[str]]] = [("", [])]
     ids = {id(e) for e in chosen}
     _blocks(page, blocks, "", skipped, ids, id(page) in ids)
-    lines = ((path, " ".join(entities.unescape("".join(b)).split())) for path, b in blocks)
+    lines = ((path, " ".join(entities.unescape("".join(b)).split())) for path, b in blocks if b)
     return [(path, x) for path, x in lines if x]
 
 
@@ -489,7 +521,7 @@ def line_keys(page: Element) -> set[tuple[int, int]]:
     for path, text in _lines(page, lambda e, _: e.tag in UNREAD, [page]):
         if path.rpartition("/")[2].partition("[")[0] in ROWS:
             continue
-        place = _hash(path)
+        place = _place(path)
         out |= {(place, place), (place, _hash(f"{path}\n{text}"))}
     return out
 
